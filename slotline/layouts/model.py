@@ -72,7 +72,11 @@ class Layout:
         return out
 
     def render(self, values) -> Column:
-        """The record text; ``values(i)`` is the unpadded column of slot ``i``."""
+        """The record text; ``values(i)`` is the unpadded column of slot ``i``.
+
+        Every position belongs to one constant or one padded slot, so the text
+        has the record's width without padding it once more as a whole.
+        """
         parts, i = [], 0
         for piece in self.pieces():
             if isinstance(piece, Slot):
@@ -80,7 +84,7 @@ class Layout:
                 i += 1
             else:
                 parts.append(F.lit(piece))
-        return F.rpad(F.concat(*parts), self.width, " ")
+        return F.concat(*parts)
 
     def rows(self) -> list[tuple]:
         """Layout table rows: the data slots and the constant runs between them."""

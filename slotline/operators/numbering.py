@@ -1,53 +1,38 @@
-"""Dense claim numbers per file, without one task per file.
-
-A plain window over (file) would sort a large contractor's claims in one task.
-Here the narrow keys are range-partitioned, so a large file spans many tasks;
-each claim's number is its place in its task plus the claims of its file in the
-tasks before, which is a table of at most one row per task and file.
-"""
+"""Dense claim numbers per file, without one task per file."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from slotline.operators.ordered import earlier_pieces, in_order
 from slotline.operators.selection import FILE
-from slotline.session import stage
-
-# A generated row id holds the task in its upper bits, the row in its lower 33.
-_ROW_BITS = 33
 
 
 def number_claims(phased: DataFrame, strict_nulls: bool = False) -> DataFrame:
     """Adds ``claim_sequence`` (by id) and the totals of the claim's file.
 
-    The placed keys are staged: ranges are sampled, so a second run of the same
-    plan could cut them elsewhere, and everything below relies on one cut.
+    A claim's number is its place in its piece plus the claims of its file in
+    earlier pieces, which is a table of at most one row per task and file.  Only
+    narrow keys are sorted, and no window runs over them.
     """
-    placed = stage(
-        phased.select(*FILE, "id", "line_count")
-        .repartitionByRange(*FILE, "id")
-        .sortWithinPartitions(*FILE, "id")
-        .withColumn("place", F.monotonically_increasing_id()),
-        "claim-places",
-    )
-    piece = F.shiftright("place", _ROW_BITS).alias("piece")
-    pieces = placed.groupBy(*FILE, piece).agg(
+    placed = in_order(phased.select(*FILE, "id", "line_count"), FILE, ["id"], "claim-places")
+    pieces = placed.groupBy(*FILE, "piece").agg(
         F.min("place").alias("first_place"),
         F.count(F.lit(1)).alias("claims"),
         F.sum("line_count").alias("lines"),
     )
     whole = Window.partitionBy(*FILE)
-    before = whole.orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    claims_before = F.coalesce(F.sum("claims").over(earlier_pieces(FILE)), F.lit(0))
     total_lines = F.sum("lines").over(whole)
     offsets = pieces.select(
         *FILE,
         "piece",
-        (F.coalesce(F.sum("claims").over(before), F.lit(0)) - F.col("first_place") + 1).alias("shift"),
+        (claims_before - F.col("first_place") + 1).alias("shift"),
         F.sum("claims").over(whole).alias("total_claim_headers"),
         (total_lines if strict_nulls else F.coalesce(total_lines, F.lit(0))).alias("total_claim_lines"),
     )
-    return placed.select("*", piece).join(offsets, [*FILE, "piece"]).select(
+    return placed.join(offsets, [*FILE, "piece"]).select(
         *FILE,
         "id",
         "line_count",

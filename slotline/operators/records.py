@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotline.functions.json_text import parse_payment, spaced_json
+from slotline.functions.json_text import parse_claim, parse_payment, spaced_json
 from slotline.functions.text import (
     date_text,
     flag,
@@ -139,15 +139,14 @@ def named(numbered: DataFrame, parameters: DataFrame) -> DataFrame:
     )
 
 
-def claim_rows(numbered: DataFrame, parsed: DataFrame, payments: DataFrame) -> DataFrame:
-    """Numbered claims with their document and latest payment, one row each."""
+def claim_rows(numbered: DataFrame, claims: DataFrame, payments: DataFrame) -> DataFrame:
+    """Numbered claims with their document and latest response, still as text.
+
+    Documents are parsed after the last shuffle: as text they are no larger, and
+    a sort that samples its input does not parse everything twice.
+    """
     latest = latest_payment(payments).select(F.col("claim_id").alias("id"), "payment_response_json")
-    return (
-        parsed.join(numbered, "id")
-        .join(latest, "id", "left")
-        .withColumn("payment", parse_payment(F.col("payment_response_json")))
-        .drop("payment_response_json")
-    )
+    return claims.select("id", "claim_jsonb").join(numbered, "id").join(latest, "id", "left")
 
 
 def compact_records(rows: DataFrame, sections=tuple(SECTION_RANK)) -> DataFrame:
@@ -155,8 +154,12 @@ def compact_records(rows: DataFrame, sections=tuple(SECTION_RANK)) -> DataFrame:
     of a file also bring the file's header and trailer.
 
     So one pass over the claims gives every record, already next to its
-    neighbours, and no union of four separate scans is needed.
+    neighbours, and no union of four separate scans is needed.  Records keep the
+    order of ``rows``, and the records of one claim come in file order.
     """
+    rows = rows.withColumns(
+        {"claim": parse_claim(F.col("claim_jsonb")), "payment": parse_payment(F.col("payment_response_json"))}
+    )
     single = lambda kind: F.array(
         F.struct(
             F.lit(kind).alias("record_type"),

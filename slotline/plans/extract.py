@@ -13,7 +13,7 @@ from slotline.operators import records, selection
 from slotline.operators.naming import file_name
 from slotline.operators.numbering import number_claims
 from slotline.sinks.files import write_files
-from slotline.sources.claims import claim_keys, parsed_claims
+from slotline.sources.claims import claim_keys
 
 
 @dataclass
@@ -68,7 +68,7 @@ class Extract:
 
     def claim_rows(self) -> DataFrame:
         named = records.named(self.numbered, self.parameters)
-        return records.claim_rows(named, parsed_claims(self._claims_of_days()), self.payments)
+        return records.claim_rows(named, self._claims_of_days(), self.payments)
 
     def compact(self, *sections: str) -> DataFrame:
         """Unordered records, not yet padded; all sections when none is named."""
@@ -86,8 +86,16 @@ class Extract:
         return self.compact().withColumn("record_content", records.record_content()).drop("slots", "claim_id")
 
     def final(self) -> DataFrame:
-        """The ordered result relation; text is built after the sort."""
-        ordered = self.compact().orderBy("file_name", *records.record_order(self.strict_sequence))
+        """The ordered result relation.
+
+        Claims are sorted, then each becomes its records in place, so neither the
+        records nor their text are shuffled.  Only the strict order, which moves
+        trailers between claims, has to sort the records themselves.
+        """
+        if self.strict_sequence:
+            ordered = self.compact().orderBy("file_name", *records.record_order(strict_sequence=True))
+        else:
+            ordered = records.compact_records(self.claim_rows().orderBy("file_name", "claim_sequence"))
         return ordered.select(*records.RECORD_COLUMNS, records.record_content().alias("record_content"))
 
     def write(self, path: str, claims_per_part: int = 10_000) -> None:

@@ -47,11 +47,21 @@ def claim_keys(claims: DataFrame) -> DataFrame:
     """``(id, mac_id, receipt_date, line_count)``, the narrow side of the claims."""
     if {"mac_id", "receipt_date", "line_count"} <= set(claims.columns):
         return claims.select("id", "mac_id", "receipt_date", "line_count")
-    return claims.select("id", parse_claim_key(F.col("claim_jsonb")).alias("key")).select(
+    return _with_key(claims).select("id", "mac_id", "receipt_date", "line_count")
+
+
+def _with_key(claims: DataFrame) -> DataFrame:
+    """Claims with their key values as columns.
+
+    A one-element ``inline`` keeps later filters on these columns above the
+    parser; pushed below it, every filter would parse the documents again.
+    """
+    return claims.select("*", F.inline(F.array(parse_claim_key(F.col("claim_jsonb"))))).select(
         "id",
-        F.col("key.macId").alias("mac_id"),
-        F.col("key.receiptDate").alias("receipt_date"),
-        F.size("key.serviceLines").cast("bigint").alias("line_count"),
+        "claim_jsonb",
+        F.col("macId").alias("mac_id"),
+        F.size("serviceLines").cast("bigint").alias("line_count"),
+        F.col("receiptDate").alias("receipt_date"),
     )
 
 
@@ -65,15 +75,8 @@ def stage_claims(claims: DataFrame, path: str) -> None:
 
     Ranges of (date, id) spread a busy day over many tasks and files.
     """
-    keyed = claims.select("id", "claim_jsonb", parse_claim_key(F.col("claim_jsonb")).alias("key")).select(
-        "id",
-        "claim_jsonb",
-        F.col("key.macId").alias("mac_id"),
-        F.size("key.serviceLines").cast("bigint").alias("line_count"),
-        F.col("key.receiptDate").alias("receipt_date"),
-    )
     (
-        keyed.repartitionByRange("receipt_date", "id")
+        _with_key(claims).repartitionByRange("receipt_date", "id")
         .sortWithinPartitions("receipt_date", "id")
         .write.mode("overwrite")
         .partitionBy("receipt_date")
