@@ -7,7 +7,7 @@ of them starts again at position 1.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotline.operators.ordered import in_order, previous_value, sum_before
@@ -21,15 +21,15 @@ def dedupe(layout: DataFrame) -> DataFrame:
     return layout.withColumn("copy", F.row_number().over(same)).where("copy = 1").drop("copy")
 
 
-def _issue(kind: str, severity: str, first, last, size):
+def _issue(kind: Column, severity: str, first: Column, last: Column, size: Column) -> tuple:
     return (
         "record_type",
         "line",
-        F.lit(kind).alias("issue") if isinstance(kind, str) else kind.alias("issue"),
+        kind.alias("issue"),
         "field_name",
-        first.cast("int").alias("first_position"),
-        last.cast("int").alias("last_position"),
-        size.cast("int").alias("size"),
+        first.cast("bigint").alias("first_position"),
+        last.cast("bigint").alias("last_position"),
+        size.cast("bigint").alias("size"),
         F.lit(severity).alias("severity"),
     )
 
@@ -38,7 +38,7 @@ def length_mismatches(layout: DataFrame) -> DataFrame:
     """Fields padded to another length than their positions span."""
     start, end, pad = F.col("start"), F.col("end"), F.col("pad_len")
     return layout.where(pad != end - start + 1).select(
-        *_issue("LENGTH_MISMATCH", "ERROR", start, end, pad - (end - start + 1))
+        *_issue(F.lit("LENGTH_MISMATCH"), "ERROR", start, end, pad - (end - start + 1))
     )
 
 
@@ -64,7 +64,7 @@ def padding_warnings(layout: DataFrame) -> DataFrame:
     numeric = F.col("field_name").rlike("EOMB-AMT|DATE|NUM")
     zero_padded = (F.col("pad_side") == "LPAD") & (F.col("pad_char") == "0")
     return layout.where(numeric & ~zero_padded).select(
-        *_issue("PADDING_TYPE", "WARNING", F.col("start"), F.col("end"), F.col("pad_len"))
+        *_issue(F.lit("PADDING_TYPE"), "WARNING", F.col("start"), F.col("end"), F.col("pad_len"))
     )
 
 

@@ -75,7 +75,7 @@ def _documents(lineitem: DataFrame) -> DataFrame:
         _unless(part % 4 == 0, (supplier + 10000).cast("string")).alias("serviceFacilityLocationZipCode"),
     )
     # Array order is by part, not by line number, so that numbering has work to do.
-    keyed = F.struct("l_partkey", "l_suppkey", "l_linenumber", line.alias("line"))
+    keyed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", line.alias("line"))
     return (
         lineitem.select("l_orderkey", document.alias("document"), keyed.alias("keyed"))
         .groupBy("l_orderkey", "document")
@@ -164,7 +164,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text("H", user).alias("beneHicNumber"),
         iso(day).alias("checkIssueDate"),
         iso(F.date_add(day, 1)).alias("checkStatusDate"),
-        _unless(event % 4 == 0, amount.cast("string")).alias("claimInterestAmount"),
+        _unless(event % 4 == 0, F.when(event % 44 == 1, "n/a").otherwise(amount.cast("string"))).alias("claimInterestAmount"),
         (-amount).alias("claimRecoupmentAmount"),
         (kind == "error").alias("couldNotBeForwarded"),
         F.get_json_object("props", "$.k").alias("higlasClaimCheckNumber"),
@@ -182,7 +182,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     document = F.struct(
         F.col("value").cast("decimal(10,5)").alias("interestRate"),
-        _unless(event % 8 == 0, (event % 400).cast("string")).alias("interestDaysOver"),
+        _unless(event % 8 == 0, F.when(event % 50 == 1, "3.0").otherwise((event % 400).cast("string"))).alias("interestDaysOver"),
         bene.alias("beneCheck"),
         _unless(event % 5 == 0, provider).alias("providerCheck"),
     )
@@ -199,3 +199,51 @@ def parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = table(spark, sf_dir, "orders").select(day.alias("extract_date")).distinct()
     run = F.date_add("extract_date", 1).cast("timestamp") + F.expr("interval '03:04:05' hour to second")
     return dates.select("extract_date", run.alias("run_ts"))
+
+
+def layout_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layout table with one record type per brand and one field per part.
+
+    Parts lie ten positions apart and are ten times their size wide, so fields
+    of a brand leave gaps, overlap or meet; every fifth field is listed twice.
+    """
+    key, size = F.col("p_partkey"), F.col("p_size").cast("bigint")
+    kind = F.when(size % 5 == 0, "-DATE").when(size % 5 == 1, "-NUM").when(size % 5 == 2, "-EOMB-AMT").otherwise("")
+    copies = F.when(key % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return table(spark, sf_dir, "part").withColumn("copy", F.explode(copies)).select(
+        F.col("p_brand").alias("record_type"),
+        F.concat(F.upper(F.replace("p_name", F.lit(" "), F.lit("-"))), kind).alias("field_name"),
+        (key * 10 + 1).alias("start"),
+        (key * 10 + size * 10).alias("end"),
+        F.when(key % 3 == 0, "RPAD").otherwise("LPAD").alias("pad_side"),
+        (size * 10 + F.when(key % 7 == 0, 3).otherwise(0)).alias("pad_len"),
+        F.when(key % 4 == 0, " ").otherwise("0").alias("pad_char"),
+        (key * 2 + F.col("copy")).alias("line"),
+    )
+
+
+def result_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a saved result table, one per order, some broken on purpose."""
+    key = F.col("o_orderkey")
+    kinds = F.array(*[F.lit(x) for x in ("FILE_HEADER", "CLAIM_HEADER", "CLAIM_LINE", "FILE_TRAILER", "OTHER")])
+    mac = ((F.col("o_custkey") % 25) + 10000).cast("string")
+    name = F.when(key % 50 == 2, "  ").otherwise(F.concat(F.lit(" P.IDR.IN.EFT.MAP.P2."), mac, F.lit(".txt ")))
+    text = F.concat_ws("  ", "o_orderstatus", F.rpad("o_orderpriority", 20, " "), _money("o_totalprice").cast("string"))
+    content = (
+        F.when(key % 50 == 3, "")
+        .when(key % 50 == 4, F.rpad(text, 5700, "x"))
+        .when(key % 50 == 5, F.concat(text, F.lit("|cut off")))
+        .otherwise(F.rpad(text, (key % 10 + 38).cast("int"), F.lit(" ")))
+    )
+    keys = F.concat_ws(
+        "|", F.lit(""), name, mac, F.lit("P2"), F.get(kinds, (key % 5).cast("int")),
+        key, F.floor(key / 10), F.when(key % 3 != 0, (key % 7).cast("string")).otherwise(""),
+    )
+    line = F.when(key % 50 == 1, keys).otherwise(F.concat(keys, F.lit("|"), content, F.lit("|")))
+    heading = [
+        "|file_name|mac_id|phase|record_type|record_sequence|claim_sequence|line_sequence|record_content|",
+        "|---|---|---|---|---:|---:|---:|---|",
+        "   ",
+    ]
+    lines = F.when(key == 0, F.array(*[F.lit(x) for x in heading], line)).otherwise(F.array(line))
+    return table(spark, sf_dir, "orders").select(F.explode(lines).alias("value"))
