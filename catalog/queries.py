@@ -379,12 +379,12 @@ def file_header(spark, sf_dir):
 
 @query
 def claim_header(spark, sf_dir):
-    return extract(spark, sf_dir).section("CLAIM_HEADER").drop("line_sequence")
+    return extract(spark, sf_dir).all_records("CLAIM_HEADER").drop("line_sequence")
 
 
 @query
 def claim_line(spark, sf_dir):
-    return extract(spark, sf_dir).section("CLAIM_LINE")
+    return extract(spark, sf_dir).all_records("CLAIM_LINE")
 
 
 @query
@@ -476,12 +476,12 @@ def sink_readback(spark, sf_dir):
 
 @query
 def records_per_file(spark, sf_dir):
-    return record_checks.records_per_file(extract(spark, sf_dir).compact())
+    return record_checks.records_per_file(extract(spark, sf_dir).all_records())
 
 
 @query
 def file_count(spark, sf_dir):
-    return record_checks.file_count(extract(spark, sf_dir).compact())
+    return record_checks.file_count(extract(spark, sf_dir).all_records())
 
 
 @query

@@ -32,7 +32,7 @@ def numbered_lines(lines: Column) -> Column:
         ),
     )
     return F.transform(
-        F.array_sort(keyed),
+        F.sort_array(keyed),
         lambda entry, at: F.struct((at + 1).cast("bigint").alias("line_sequence"), entry["line"].alias("line")),
     )
 

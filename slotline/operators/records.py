@@ -1,7 +1,8 @@
-"""Records in compact form: the unpadded slot values as one array per record.
+"""Records of claims, as text or in compact form.
 
-Padding turns some forty short values into 2,332 or 5,651 characters, so records
-travel and are sorted compact, and become text only in the last projection.
+Padding turns some forty short values into 2,332 or 5,651 characters.  So claims
+are shuffled, not records, and where records must be sorted they are compact: one
+array of unpadded values each, which becomes text only after the sort.
 """
 
 from __future__ import annotations
@@ -69,11 +70,11 @@ def _value(slot: Slot, computed: dict[str, Column]) -> Column:
             return F.coalesce(raw.cast("string"), default)
 
 
-def slot_values(layout: Layout, computed: dict[str, Column]) -> Column:
-    return F.array(*[_value(slot, computed) for slot in layout.slots])
+def slot_values(layout: Layout, computed: dict[str, Column]) -> list[Column]:
+    return [_value(slot, computed) for slot in layout.slots]
 
 
-def file_values(layout: Layout) -> Column:
+def file_values(layout: Layout) -> list[Column]:
     """Slots of a file header or trailer, from the columns of a file's totals."""
     headers, lines = F.col("total_claim_headers"), F.col("total_claim_lines")
     return slot_values(
@@ -89,7 +90,7 @@ def file_values(layout: Layout) -> Column:
     )
 
 
-def claim_values() -> Column:
+def claim_values() -> list[Column]:
     diagnosis = F.get("claim.diagnosisCodes", F.lit(0))
     return slot_values(
         CLAIM_HEADER,
@@ -103,7 +104,7 @@ def claim_values() -> Column:
     )
 
 
-def line_values() -> Column:
+def line_values() -> list[Column]:
     """The line's flag looks for a code on either, but its code is the claim's."""
     diagnosis = F.get("claim.diagnosisCodes", F.lit(0))
     any_diagnosis = F.coalesce(diagnosis, F.get("line.diagnosisCodes", F.lit(0)))
@@ -121,7 +122,8 @@ def line_values() -> Column:
 def file_records(totals: DataFrame, layout: Layout) -> DataFrame:
     """File headers or trailers as records with text, one per row of totals."""
     sequence = HEADER_SEQUENCE if layout is FILE_HEADER else TRAILER_SEQUENCE
-    return totals.select("*", file_values(layout).alias("slots")).select(
+    values = file_values(layout)
+    return totals.select(
         "extract_date",
         "mac_id",
         "phase",
@@ -129,7 +131,7 @@ def file_records(totals: DataFrame, layout: Layout) -> DataFrame:
         F.lit(sequence).cast("bigint").alias("record_sequence"),
         F.lit(None).cast("bigint").alias("claim_sequence"),
         F.lit(None).cast("bigint").alias("line_sequence"),
-        layout.render(lambda i: F.get("slots", F.lit(i))).alias("record_content"),
+        layout.render(values.__getitem__).alias("record_content"),
     )
 
 
@@ -140,26 +142,29 @@ def named(numbered: DataFrame, parameters: DataFrame) -> DataFrame:
 
 
 def claim_rows(numbered: DataFrame, claims: DataFrame, payments: DataFrame) -> DataFrame:
-    """Numbered claims with their document and latest response, still as text.
+    """Numbered claims with their document and latest response.
 
-    Documents are parsed after the last shuffle: as text they are no larger, and
-    a sort that samples its input does not parse everything twice.
+    Documents given as text are parsed after the last shuffle: as text they are
+    no larger, and a sort that samples its input does not parse them twice.
     """
+    document = "claim" if "claim" in claims.columns else "claim_jsonb"
     latest = latest_payment(payments).select(F.col("claim_id").alias("id"), "payment_response_json")
-    return claims.select("id", "claim_jsonb").join(numbered, "id").join(latest, "id", "left")
+    return claims.select("id", document).join(numbered, "id").join(latest, "id", "left")
 
 
-def compact_records(rows: DataFrame, sections=tuple(SECTION_RANK)) -> DataFrame:
+def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = False) -> DataFrame:
     """Each claim becomes its header and its lines; the first and the last claim
     of a file also bring the file's header and trailer.
 
     So one pass over the claims gives every record, already next to its
     neighbours, and no union of four separate scans is needed.  Records keep the
     order of ``rows``, and the records of one claim come in file order.
+
+    The text is ``record_content``.  For records that still have to be sorted,
+    ``compact`` gives their unpadded values as ``slots`` instead.
     """
-    rows = rows.withColumns(
-        {"claim": parse_claim(F.col("claim_jsonb")), "payment": parse_payment(F.col("payment_response_json"))}
-    )
+    claim = F.col("claim") if "claim" in rows.columns else parse_claim(F.col("claim_jsonb"))
+    rows = rows.withColumns({"claim": claim, "payment": parse_payment(F.col("payment_response_json"))})
     single = lambda kind: F.array(
         F.struct(
             F.lit(kind).alias("record_type"),
@@ -183,18 +188,22 @@ def compact_records(rows: DataFrame, sections=tuple(SECTION_RANK)) -> DataFrame:
     exploded = rows.withColumn("entry", F.explode(F.concat(*[parts[name] for name in sections]))).select(
         "*", "entry.record_type", "entry.line_sequence", "entry.line"
     )
-    kind, claim = F.col("record_type"), F.col("claim_sequence")
+    kind, number = F.col("record_type"), F.col("claim_sequence")
     is_body = kind.isin("CLAIM_HEADER", "CLAIM_LINE")
     values = {
-        "FILE_HEADER": file_values(FILE_HEADER),
-        "CLAIM_HEADER": claim_values(),
-        "CLAIM_LINE": line_values(),
-        "FILE_TRAILER": file_values(FILE_TRAILER),
+        FILE_HEADER: file_values(FILE_HEADER),
+        CLAIM_HEADER: claim_values(),
+        CLAIM_LINE: line_values(),
+        FILE_TRAILER: file_values(FILE_TRAILER),
+    }
+    contents = {
+        layout.record_type: F.array(*columns) if compact else layout.render(columns.__getitem__)
+        for layout, columns in values.items()
     }
     sequences = {
         "FILE_HEADER": F.lit(HEADER_SEQUENCE).cast("bigint"),
-        "CLAIM_HEADER": claim_record_sequence(claim),
-        "CLAIM_LINE": claim_record_sequence(claim) + F.col("line_sequence"),
+        "CLAIM_HEADER": claim_record_sequence(number),
+        "CLAIM_LINE": claim_record_sequence(number) + F.col("line_sequence"),
         "FILE_TRAILER": F.lit(TRAILER_SEQUENCE).cast("bigint"),
     }
     extra = [name for name in ("part",) if name in rows.columns]
@@ -205,11 +214,11 @@ def compact_records(rows: DataFrame, sections=tuple(SECTION_RANK)) -> DataFrame:
         "phase",
         "record_type",
         _by_kind(kind, {name: sequences[name] for name in sections}).alias("record_sequence"),
-        F.when(is_body, claim).alias("claim_sequence"),
+        F.when(is_body, number).alias("claim_sequence"),
         "line_sequence",
         F.col("id").alias("claim_id"),
         *extra,
-        _by_kind(kind, {name: values[name] for name in sections}).alias("slots"),
+        _by_kind(kind, {name: contents[name] for name in sections}).alias("slots" if compact else "record_content"),
     )
 
 
@@ -237,11 +246,7 @@ def record_order(strict_sequence: bool = False) -> list[Column]:
     return [F.col("record_sequence"), *order] if strict_sequence else order
 
 
-def record_content(sections=tuple(SECTION_RANK)) -> Column:
+def text_of_slots() -> Column:
     """The padded text of a compact record."""
-    texts = {
-        layout.record_type: layout.render(lambda i: F.get("slots", F.lit(i)))
-        for layout in LAYOUTS
-        if layout.record_type in sections
-    }
+    texts = {layout.record_type: layout.render(lambda i: F.get("slots", F.lit(i))) for layout in LAYOUTS}
     return _by_kind(F.col("record_type"), texts)

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from slotline.layouts.records import FILE_HEADER, FILE_TRAILER
 from slotline.operators import records, selection
+from slotline.operators.lines import SECTION_RANK
 from slotline.operators.naming import file_name
 from slotline.operators.numbering import number_claims
 from slotline.sinks.files import write_files
-from slotline.sources.claims import claim_keys
+from slotline.sources.claims import claim_keys, is_staged
 
 
 @dataclass
@@ -70,20 +71,9 @@ class Extract:
         named = records.named(self.numbered, self.parameters)
         return records.claim_rows(named, self._claims_of_days(), self.payments)
 
-    def compact(self, *sections: str) -> DataFrame:
-        """Unordered records, not yet padded; all sections when none is named."""
-        if sections:
-            return records.compact_records(self.claim_rows(), sections)
-        return records.compact_records(self.claim_rows())
-
-    def section(self, record_type: str) -> DataFrame:
-        """Records of one kind with their text."""
-        return self.compact(record_type).withColumn(
-            "record_content", records.record_content((record_type,))
-        ).drop("slots")
-
-    def all_records(self) -> DataFrame:
-        return self.compact().withColumn("record_content", records.record_content()).drop("slots", "claim_id")
+    def all_records(self, *sections: str) -> DataFrame:
+        """Unordered records with their text; all sections when none is named."""
+        return records.records_of(self.claim_rows(), sections or tuple(SECTION_RANK))
 
     def final(self) -> DataFrame:
         """The ordered result relation.
@@ -93,10 +83,12 @@ class Extract:
         trailers between claims, has to sort the records themselves.
         """
         if self.strict_sequence:
-            ordered = self.compact().orderBy("file_name", *records.record_order(strict_sequence=True))
+            unordered = records.records_of(self.claim_rows(), compact=True)
+            ordered = unordered.orderBy("file_name", *records.record_order(strict_sequence=True))
+            ordered = ordered.withColumn("record_content", records.text_of_slots())
         else:
-            ordered = records.compact_records(self.claim_rows().orderBy("file_name", "claim_sequence"))
-        return ordered.select(*records.RECORD_COLUMNS, records.record_content().alias("record_content"))
+            ordered = records.records_of(self.claim_rows().orderBy("file_name", "claim_sequence"))
+        return ordered.select(*records.RECORD_COLUMNS, "record_content")
 
     def write(self, path: str, claims_per_part: int = 10_000) -> None:
         """One folder per file name, holding numbered parts of at most so many claims.
@@ -106,11 +98,12 @@ class Extract:
         """
         part = F.floor((F.col("claim_sequence") - 1) / claims_per_part).cast("int")
         rows = self.claim_rows().withColumn("part", part).repartition("file_name", "part")
-        write_files(records.compact_records(rows), path, records.record_content(), records.record_order(self.strict_sequence))
+        compact = records.records_of(rows, compact=True)
+        write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
 
     def _claims_of_days(self) -> DataFrame:
         """For a staged claim table, only the files of the wanted days."""
-        if "receipt_date" not in self.claims.columns:
+        if not is_staged(self.claims):
             return self.claims
         days = self.parameters.select(F.date_format("extract_date", "yyyy-MM-dd").alias("receipt_date"))
         return self.claims.join(days, "receipt_date", "left_semi")

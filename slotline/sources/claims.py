@@ -1,9 +1,10 @@
 """Claim and payment-response tables.
 
-Claims are ``(id BIGINT, claim_jsonb STRING)``.  A staged claim table also has
-``mac_id``, ``receipt_date`` and ``line_count`` as real columns, and is laid out
-by ``receipt_date``: selecting a day then reads that day's files only, and
-numbering claims never opens a document.
+Claims are ``(id BIGINT, claim_jsonb STRING)``.  A staged claim table instead has
+the document as a ``claim STRUCT``, parsed once for all later runs, and ``mac_id``,
+``receipt_date`` and ``line_count`` as columns.  It is laid out by ``receipt_date``:
+selecting a day then reads that day's files only, and selecting and numbering
+claims reads no part of the documents.
 """
 
 from __future__ import annotations
@@ -43,40 +44,48 @@ def read_jdbc(
     )
 
 
-def claim_keys(claims: DataFrame) -> DataFrame:
-    """``(id, mac_id, receipt_date, line_count)``, the narrow side of the claims."""
-    if {"mac_id", "receipt_date", "line_count"} <= set(claims.columns):
-        return claims.select("id", "mac_id", "receipt_date", "line_count")
-    return _with_key(claims).select("id", "mac_id", "receipt_date", "line_count")
+def is_staged(claims: DataFrame) -> bool:
+    return {"claim", "mac_id", "receipt_date", "line_count"} <= set(claims.columns)
 
 
-def _with_key(claims: DataFrame) -> DataFrame:
-    """Claims with their key values as columns.
+def claim_keys(claims: DataFrame) -> DataFrame:
+    """``(id, mac_id, receipt_date, line_count)``, the narrow side of the claims.
 
     A one-element ``inline`` keeps later filters on these columns above the
     parser; pushed below it, every filter would parse the documents again.
     """
-    return claims.select("*", F.inline(F.array(parse_claim_key(F.col("claim_jsonb"))))).select(
+    if is_staged(claims):
+        return claims.select("id", "mac_id", "receipt_date", "line_count")
+    return claims.select("id", F.inline(F.array(parse_claim_key(F.col("claim_jsonb"))))).select(
         "id",
-        "claim_jsonb",
         F.col("macId").alias("mac_id"),
-        F.size("serviceLines").cast("bigint").alias("line_count"),
         F.col("receiptDate").alias("receipt_date"),
+        F.size("serviceLines").cast("bigint").alias("line_count"),
     )
 
 
 def parsed_claims(claims: DataFrame) -> DataFrame:
     """``(id, claim STRUCT)``: each document parsed once, as a whole."""
+    if is_staged(claims):
+        return claims.select("id", "claim")
     return claims.select("id", parse_claim(F.col("claim_jsonb")).alias("claim"))
 
 
 def stage_claims(claims: DataFrame, path: str) -> None:
-    """Write claims as a table laid out by receipt date.
+    """Write claims as a typed table laid out by receipt date.
 
     Ranges of (date, id) spread a busy day over many tasks and files.
     """
     (
-        _with_key(claims).repartitionByRange("receipt_date", "id")
+        parsed_claims(claims)
+        .select(
+            "id",
+            "claim",
+            F.col("claim.macId").alias("mac_id"),
+            F.size("claim.serviceLines").cast("bigint").alias("line_count"),
+            F.col("claim.receiptDate").alias("receipt_date"),
+        )
+        .repartitionByRange("receipt_date", "id")
         .sortWithinPartitions("receipt_date", "id")
         .write.mode("overwrite")
         .partitionBy("receipt_date")
