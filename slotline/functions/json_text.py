@@ -95,6 +95,8 @@ def spaced_json(text: Column) -> Column:
 
     Blanks and separators inside quoted strings stay as they are.
     """
-    quoted = r'"(?:[^"\\]|\\.)*"'
-    spaced = F.regexp_replace(text, rf'((?:[^",:\s]|{quoted})*)([,:])\s*', "$1$2 ")
+    quoted = r'"(?:[^"\\]|\\.)*+"'
+    # Arrays of bare numbers come as they were written, all else comes compact.
+    compact = F.when(text.contains('"'), text).otherwise(F.regexp_replace(text, r"\s", ""))
+    spaced = F.regexp_replace(compact, rf'\G((?:[^",:]|{quoted})*+)([,:])', "$1$2 ")
     return F.when(text.rlike(r"^[\[{]"), spaced).otherwise(text)

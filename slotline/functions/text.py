@@ -44,7 +44,7 @@ def number_text(text: Column) -> Column:
     ``+5`` becomes ``5``, ``007.10`` becomes ``7.10``, ``.5`` becomes ``0.5`` and
     ``1.5e3`` becomes ``1500``.  Text that is no number gives NULL.
     """
-    plain = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
+    plain = r"^(?!-[0.]+$)-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
     loose = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
     word = F.trim(text)
     body = F.regexp_replace(word, r"^[+-]", "")
