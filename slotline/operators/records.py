@@ -191,15 +191,17 @@ def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = Fa
     kind, number = F.col("record_type"), F.col("claim_sequence")
     is_body = kind.isin("CLAIM_HEADER", "CLAIM_LINE")
     values = {
-        FILE_HEADER: file_values(FILE_HEADER),
-        CLAIM_HEADER: claim_values(),
-        CLAIM_LINE: line_values(),
-        FILE_TRAILER: file_values(FILE_TRAILER),
-    }
-    contents = {
-        layout.record_type: F.array(*columns) if compact else layout.render(columns.__getitem__)
-        for layout, columns in values.items()
+        "FILE_HEADER": lambda: file_values(FILE_HEADER),
+        "CLAIM_HEADER": claim_values,
+        "CLAIM_LINE": line_values,
+        "FILE_TRAILER": lambda: file_values(FILE_TRAILER),
     }
+
+    def content(layout: Layout) -> Column:
+        columns = values[layout.record_type]()
+        return F.array(*columns) if compact else layout.render(columns.__getitem__)
+
+    contents = {layout.record_type: content(layout) for layout in LAYOUTS if layout.record_type in sections}
     sequences = {
         "FILE_HEADER": F.lit(HEADER_SEQUENCE).cast("bigint"),
         "CLAIM_HEADER": claim_record_sequence(number),
