@@ -17,7 +17,7 @@ from pathlib import Path
 from catalog.queries import checksum
 from pyspark.sql import functions as F
 
-from slotline import Extract, build_session, read_claims, read_payments, stage_claims, testbed
+from slotline import Extract, build_session, read_claims, read_payments, read_staged_claims, stage_claims, testbed
 from slotline.checks import records as record_checks
 from slotline.operators.payments import latest_payment
 from slotline.sinks import split_result
@@ -64,7 +64,7 @@ def run(folder: Path) -> dict:
 
     timed("stage_claims", lambda: stage_claims(raw, at("claims")))
     extract = lambda claims: Extract(claims, paid, days)
-    staged = read_claims(spark, at("claims"))
+    staged = read_staged_claims(spark, at("claims"))
     timed("claim_phase", lambda: drain(extract(staged).phased))
     timed("mac_totals", lambda: drain(extract(staged).mac_totals()))
     timed("mac_totals_json", lambda: drain(extract(raw).mac_totals()))

@@ -2,7 +2,7 @@
 
 from slotline.plans.extract import Extract
 from slotline.session import build_session
-from slotline.sources import extract_parameters, read_claims, read_payments, read_result_table, stage_claims
+from slotline.sources import extract_parameters, read_claims, read_payments, read_result_table, read_staged_claims, stage_claims
 
 __all__ = [
     "Extract",
@@ -11,5 +11,6 @@ __all__ = [
     "read_claims",
     "read_payments",
     "read_result_table",
+    "read_staged_claims",
     "stage_claims",
 ]

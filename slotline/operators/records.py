@@ -136,7 +136,8 @@ def file_records(totals: DataFrame, layout: Layout) -> DataFrame:
 
 
 def named(numbered: DataFrame, parameters: DataFrame) -> DataFrame:
-    return numbered.join(parameters, "extract_date").withColumn(
+    """File names added; the parameters hold one row per day."""
+    return numbered.join(F.broadcast(parameters), "extract_date").withColumn(
         "file_name", file_name(F.col("phase"), F.col("mac_id"), F.col("run_ts"))
     )
 

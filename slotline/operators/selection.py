@@ -13,10 +13,12 @@ FILE = ["extract_date", "mac_id", "phase"]
 def claims_on_date(keys: DataFrame, parameters: DataFrame) -> DataFrame:
     """Claims with a contractor whose receipt date is one of the extract dates.
 
-    ``keys`` has ``mac_id`` and ``receipt_date``; both are compared as text.
+    ``keys`` has ``mac_id`` and ``receipt_date``; both are compared as text.  The
+    parameters hold one row per day, a bound that does not grow with the claims,
+    so they may be broadcast.
     """
     days = parameters.select("extract_date", F.date_format("extract_date", "yyyy-MM-dd").alias("receipt_date"))
-    return keys.where(F.col("mac_id").isNotNull()).join(days, "receipt_date")
+    return keys.where(F.col("mac_id").isNotNull()).join(F.broadcast(days), "receipt_date")
 
 
 def with_phase(selected: DataFrame, payments: DataFrame) -> DataFrame:

@@ -13,10 +13,15 @@ from slotline.operators import records, selection
 from slotline.operators.lines import SECTION_RANK
 from slotline.operators.naming import file_name
 from slotline.operators.numbering import number_claims
+from slotline.operators.payments import responses_of
 from slotline.sinks.files import write_files
 from slotline.sources.claims import claim_keys, is_staged
 
 
+# Longest list of days to write into a query as literals.
+MOST_DAYS = 1000
+
+
 @dataclass
 class Extract:
     """All results of a run.
@@ -35,7 +40,7 @@ class Extract:
 
     @cached_property
     def selected(self) -> DataFrame:
-        return selection.claims_on_date(claim_keys(self.claims), self.parameters)
+        return selection.claims_on_date(claim_keys(self._claims_of_days), self.parameters)
 
     @cached_property
     def phased(self) -> DataFrame:
@@ -63,13 +68,18 @@ class Extract:
         return records.file_records(self.mac_totals(), FILE_TRAILER)
 
     def file_metadata(self) -> DataFrame:
-        return self.mac_dimension().join(self.parameters, "extract_date").select(
+        return self.mac_dimension().join(F.broadcast(self.parameters), "extract_date").select(
             *selection.FILE, file_name(F.col("phase"), F.col("mac_id"), F.col("run_ts")).alias("file_name")
         )
 
+    @cached_property
+    def claim_count(self) -> int:
+        return self.numbered.count()
+
     def claim_rows(self) -> DataFrame:
         named = records.named(self.numbered, self.parameters)
-        return records.claim_rows(named, self._claims_of_days(), self.payments)
+        payments = responses_of(self.payments, self.numbered, self.claim_count)
+        return records.claim_rows(named, self._claims_of_days, payments)
 
     def all_records(self, *sections: str) -> DataFrame:
         """Unordered records with their text; all sections when none is named."""
@@ -97,13 +107,26 @@ class Extract:
         a file of any size is written by many tasks, and only claims are shuffled.
         """
         part = F.floor((F.col("claim_sequence") - 1) / claims_per_part).cast("int")
-        rows = self.claim_rows().withColumn("part", part).repartition("file_name", "part")
+        rows = self.claim_rows().withColumn("part", part)
+        # At least one task per full part; for fewer, the planner's own number.
+        tasks = -(-self.claim_count // claims_per_part)
+        if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+            rows = rows.repartition(tasks, "file_name", "part")
+        else:
+            rows = rows.repartition("file_name", "part")
         compact = records.records_of(rows, compact=True)
         write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
 
+    @cached_property
     def _claims_of_days(self) -> DataFrame:
-        """For a staged claim table, only the files of the wanted days."""
+        """Of a staged claim table, only the folders of the wanted days.
+
+        Days known as literals prune folders while the query is planned; a list
+        too long for that is left to the join with the parameters.
+        """
         if not is_staged(self.claims):
             return self.claims
-        days = self.parameters.select(F.date_format("extract_date", "yyyy-MM-dd").alias("receipt_date"))
-        return self.claims.join(days, "receipt_date", "left_semi")
+        days = [row[0] for row in self.parameters.select("extract_date").limit(MOST_DAYS + 1).collect()]
+        if len(days) > MOST_DAYS:
+            return self.claims
+        return self.claims.where(F.col("receipt_date").isin([day.isoformat() for day in days]))

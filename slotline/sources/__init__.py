@@ -6,6 +6,7 @@ from slotline.sources.claims import (
     read_claims,
     read_jdbc,
     read_payments,
+    read_staged_claims,
     stage_claims,
 )
 from slotline.sources.parameters import extract_parameters
@@ -20,5 +21,6 @@ __all__ = [
     "read_jdbc",
     "read_payments",
     "read_result_table",
+    "read_staged_claims",
     "stage_claims",
 ]

@@ -11,16 +11,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from slotline.functions.json_text import parse_claim, parse_claim_key
+from slotline.functions.json_text import CLAIM_SCHEMA, parse_claim, parse_claim_key
 
 CLAIM_TABLE = "id bigint, claim_jsonb string"
 PAYMENT_TABLE = "claim_id bigint, created_at timestamp, payment_response_json string"
+STAGED_TABLE = (
+    T.StructType()
+    .add("id", "bigint")
+    .add("claim", CLAIM_SCHEMA)
+    .add("mac_id", "string")
+    .add("line_count", "bigint")
+    .add("receipt_date", "string")
+)
 
 
 def read_claims(spark: SparkSession, path: str, format: str = "parquet", **options: str) -> DataFrame:
-    """Claims from files; staged tables bring their extra columns along."""
-    return spark.read.format(format).options(**options).load(path)
+    """Claims as JSON text from files."""
+    return spark.read.format(format).options(**options).schema(CLAIM_TABLE).load(path)
+
+
+def read_staged_claims(spark: SparkSession, path: str) -> DataFrame:
+    """Claims as written by :func:`stage_claims`; receipt dates stay text."""
+    return spark.read.schema(STAGED_TABLE).parquet(path)
 
 
 def read_payments(spark: SparkSession, path: str, format: str = "parquet", **options: str) -> DataFrame:

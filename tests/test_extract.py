@@ -4,7 +4,7 @@ from datetime import date, datetime, timezone
 
 import pytest
 
-from slotline import Extract, extract_parameters, read_claims, stage_claims
+from slotline import Extract, extract_parameters, read_staged_claims, stage_claims
 from slotline.checks import records as record_checks
 from slotline.operators.payments import latest_payment, latest_payment_lateral
 from slotline.sinks import read_files
@@ -170,9 +170,20 @@ def test_staged_claims_give_the_same_extract(spark, tmp_path, make_claims, make_
     claims = make_claims({1: claim(serviceLines=[line(2), line(1)], totalBilledAmount=5.50), 2: claim(), 3: claim(receiptDate="2025-01-01")})
     paid = make_payments((2, None, {"interestRate": 0.04750}))
     stage_claims(claims, str(tmp_path / "claims"))
-    staged = read_claims(spark, str(tmp_path / "claims"))
+    staged = read_staged_claims(spark, str(tmp_path / "claims"))
     days = extract_parameters(spark, DAY, RUN)
-    assert Extract(staged, paid, days).final().collect() == Extract(claims, paid, days).final().collect()
+    extract = Extract(staged, paid, days)
+    assert extract.final().collect() == Extract(claims, paid, days).final().collect()
+    plan = extract.claim_rows()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(receipt_date" in plan or "PartitionFilters: [(receipt_date" in plan
+
+
+def test_result_does_not_depend_on_broadcasting_claims(run, monkeypatch):
+    documents = {i: claim() for i in range(1, 6)}
+    paid = [(i, "2025-01-01T00:00:00", {"interestRate": i}) for i in (2, 4, 9)]
+    want = records(run(documents, *paid))
+    monkeypatch.setattr("slotline.operators.payments.BROADCAST_CLAIMS", 0)
+    assert records(run(documents, *paid)) == want
 
 
 def test_written_files_hold_their_records_in_order(run, spark, tmp_path):
