@@ -19,11 +19,11 @@ CLAIM_TABLE = "id bigint, claim_jsonb string"
 PAYMENT_TABLE = "claim_id bigint, created_at timestamp, payment_response_json string"
 STAGED_TABLE = (
     T.StructType()
-    .add("id", "bigint")
+    .add("id", T.LongType())
     .add("claim", CLAIM_SCHEMA)
-    .add("mac_id", "string")
-    .add("line_count", "bigint")
-    .add("receipt_date", "string")
+    .add("mac_id", T.StringType())
+    .add("line_count", T.LongType())
+    .add("receipt_date", T.StringType())
 )
 
 

@@ -1,5 +1,6 @@
 """Values across pieces against a plain window, with one large group."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -7,6 +8,15 @@ from slotline.operators.numbering import number_claims
 from slotline.operators.ordered import in_order, previous_value, sum_before
 
 
+@pytest.fixture(autouse=True)
+def many_pieces(spark):
+    """Small test data would otherwise be merged into one piece."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.unset(key)
+
+
 def skewed(spark):
     """Two thirds of the rows in one group, the rest spread; order keys unique."""
     return spark.range(20_000).select(
@@ -45,6 +55,7 @@ def test_numbering_of_a_large_file(spark):
         F.when(F.col("v") > 0, F.col("v")).alias("line_count"),
     )
     got = number_claims(keys)
+    assert got.count() == 20_000
     plain = Window.partitionBy("mac_id")
     want = keys.select(
         "mac_id",
