@@ -1 +1 @@
-"""The registered queries and their reference SQL."""
+"""The registered queries and the SQL they are compared with."""

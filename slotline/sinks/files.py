@@ -21,10 +21,12 @@ def write_files(records: DataFrame, path: str, content: Column, order: list[Colu
     """Write records that are already together by (``file_name``, ``part``).
 
     The sort is local to each task and runs on whatever ``records`` holds; the
-    text ``content`` is built after it.
+    text ``content`` is built after it.  A name known not to be NULL spares the
+    writer a projection, after which it would sort the text by name once more.
     """
     (
-        records.sortWithinPartitions("file_name", "part", *order)
+        records.withColumn("file_name", F.coalesce("file_name", F.lit("")))
+        .sortWithinPartitions("file_name", "part", *order)
         .select("file_name", "part", content.alias("value"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -48,13 +50,15 @@ def clip_records(result: DataFrame) -> DataFrame:
 def split_result(parsed: DataFrame, path: str, claims_per_part: int = 10_000) -> None:
     """Write the usable rows of a saved result table, one folder per file name.
 
-    Rows may come in any order and a file name may come back later.
+    Rows may come in any order and a file name may come back later.  Rows without
+    any sequence have no place; they are spread over parts before the trailer.
     """
-    place = F.coalesce(F.col("claim_sequence") - 1, F.floor(F.col("record_sequence") / 1000), F.lit(0))
+    place = F.coalesce(F.col("claim_sequence") - 1, F.floor(F.col("record_sequence") / 1000))
+    unplaced = LAST_PART - 1 - F.pmod(F.xxhash64("record_content"), F.lit(1000))
     part = (
         F.when(F.col("record_type") == "FILE_HEADER", 0)
         .when(F.col("record_type") == "FILE_TRAILER", LAST_PART)
-        .otherwise(F.floor(place / claims_per_part))
+        .otherwise(F.coalesce(F.floor(place / claims_per_part), unplaced))
         .cast("int")
     )
     rows = clip_records(accepted(parsed)).withColumn("part", part).repartition("file_name", "part")

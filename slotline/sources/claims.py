@@ -88,20 +88,26 @@ def parsed_claims(claims: DataFrame) -> DataFrame:
 def stage_claims(claims: DataFrame, path: str) -> None:
     """Write claims as a typed table laid out by receipt date.
 
-    Ranges of (date, id) spread a busy day over many tasks and files.
+    Ranges of (date, id) spread a busy day over many tasks and files.  They are
+    sampled and sorted on the text; documents are parsed whole only after that.
     """
+    placed = (
+        claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb")))))
+        .select("id", "claim_jsonb", F.col("receiptDate").alias("receipt_date"))
+        .repartitionByRange("receipt_date", "id")
+        .sortWithinPartitions("receipt_date", "id")
+    )
     (
-        parsed_claims(claims)
+        placed.withColumn("claim", parse_claim(F.col("claim_jsonb")))
         .select(
             "id",
             "claim",
             F.col("claim.macId").alias("mac_id"),
             F.size("claim.serviceLines").cast("bigint").alias("line_count"),
-            F.col("claim.receiptDate").alias("receipt_date"),
+            "receipt_date",
         )
-        .repartitionByRange("receipt_date", "id")
-        .sortWithinPartitions("receipt_date", "id")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("receipt_date")
         .parquet(path)
     )
