@@ -82,6 +82,15 @@ def test_payment_without_time_wins(make_claims, make_payments):
     assert sorted((row.id, row.payment_response_json) for row in lateral.collect()) == [(1, '{"a": 2}'), (3, None)]
 
 
+def test_responses_shrink_to_one_per_claim_before_the_shuffle(spark, make_payments):
+    rows = [(1 if i % 3 else i, f"2025-01-01T00:{i // 60:02}:{i % 60:02}", {"n": i}) for i in range(600)]
+    latest = latest_payment(make_payments(*rows))
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Final") < plan.index("Exchange hashpartitioning(claim_id") < plan.index("Partial")
+    got = {row.claim_id: row.payment_response_json for row in latest.collect()}
+    assert got[1] == '{"n": 599}' and len(got) == 201
+
+
 def test_unselected_claims_are_absent(run):
     other = {1: claim(receiptDate="2025-12-11"), 2: {"receiptDate": "2025-12-12"}, 3: claim(macId=None), 4: {"macId": "5202"}}
     assert records(run(other)) == []
