@@ -76,9 +76,13 @@ def _documents(lineitem: DataFrame) -> DataFrame:
     )
     # Array order is by part, not by line number, so that numbering has work to do.
     keyed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", line.alias("line"))
+    placed = lineitem.select("l_orderkey", document.alias("document"), keyed.alias("keyed"))
+    if "n" in lineitem.columns:
+        # The join leaves an order's lines together; spread them by document.
+        placed = placed.repartition("l_orderkey", "document")
+    # An array holds the lines of one document, whose number is bounded above.
     return (
-        lineitem.select("l_orderkey", document.alias("document"), keyed.alias("keyed"))
-        .groupBy("l_orderkey", "document")
+        placed.groupBy("l_orderkey", "document")
         .agg(F.array_sort(F.collect_list("keyed")).alias("keyed"))
         .select("l_orderkey", "document", F.col("keyed.line").alias("lines"))
     )
