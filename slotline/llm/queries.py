@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotline.llm import quality_rules
+from slotline.llm import packing, quality_rules, token_files
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +21,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.with_crc(token_files.round_trip(table(spark, sf_dir, "documents")))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = packing.packed(table(spark, sf_dir, "documents"))
+    return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_token_files": op3_token_files,
+    "op8_packing": op8_packing,
 }
 ORACLE: dict[str, str] = {}
