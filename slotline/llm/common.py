@@ -61,3 +61,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
+
+
+def hashed_sample(frame: DataFrame, keys: list[str], rows: int, count: int | None = None) -> DataFrame:
+    """About ``rows`` of the frame's rows, chosen by a hash of their keys; all if there are no more.
+
+    The same rows on each run, whatever the partitions. The number wanders by a few
+    times its square root.
+    """
+    count = frame.count() if count is None else count
+    if count <= rows:
+        return frame
+    return frame.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int((1 << 40) * rows / count))

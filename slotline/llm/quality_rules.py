@@ -6,7 +6,7 @@ score above which a document is rejected is calibrated on the labelled rows: the
 labelled table enters as a histogram of scores.
 
 Bounds: a tree is grown over ``sample_rows`` documents and there are ``trees`` of them,
-as the method has it; the sample is the documents with the least hash, the same on
+as the method has it; the sample is chosen by hash, the same on
 each run. Everything else covers all rows.
 
 Null, empty and word-free texts have all counts 0 and fail the base rule. Repeated rows
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slotline.llm.common import small_batches, staged
+from slotline.llm.common import hashed_sample, small_batches, staged
 from slotline.llm.textstats import STATISTICS, rule_statistics
 
 TREES = 128
@@ -133,14 +133,13 @@ class Forest:
 
 
 def fitted(counted: DataFrame, trees: int = TREES, sample_rows: int = SAMPLE_ROWS) -> Forest:
-    """The forest over a sample of at most ``trees * sample_rows`` documents by least hash.
+    """The forest over a sample of about ``trees * sample_rows`` documents, chosen by hash.
 
     Equal statistics count once: a document copied a million times is one point, and
     does not become what is usual.
     """
     points = counted.filter("n_words > 0").select(*STATISTICS).distinct()
-    order = F.xxhash64(*STATISTICS)
-    rows = points.orderBy(order).limit(trees * sample_rows).toPandas()
+    rows = hashed_sample(points, list(STATISTICS), trees * sample_rows).orderBy(*STATISTICS).toPandas()
     shuffled = np.random.default_rng(5).permutation(len(rows))
     points = features(rows)[shuffled] if len(rows) else np.zeros((0, 8))
     each = max(1, min(sample_rows, len(points)))
