@@ -54,15 +54,16 @@ def statistics(documents: DataFrame) -> DataFrame:
 
 
 def features(rows: pd.DataFrame) -> np.ndarray:
-    """The statistics as shares, one row for each document."""
+    """The statistics as shares, one row for each document.
+
+    Repetition is left to the base rule: a repeated line or two is common in good text,
+    and would stand out as much as junk does.
+    """
     words = np.maximum(rows["n_words"].to_numpy(float), 1)
     chars = np.maximum(rows["word_chars"].to_numpy(float), 1)
-    lines = np.maximum(rows["n_lines"].to_numpy(float), 1)
     share = lambda name, of: rows[name].to_numpy(float) / of
     return np.column_stack([
         share("n_symbols", words),
-        share("n_dup_lines", lines),
-        share("n_repeat_words", words),
         share("n_same_next", words),
         share("n_upper", chars),
         share("n_marks", words),
@@ -71,6 +72,9 @@ def features(rows: pd.DataFrame) -> np.ndarray:
     ])
 
 
+FEATURES = 6
+
+
 def _path_left(size: int) -> float:
     """Mean path of an unsuccessful search among so many rows."""
     return 2 * (np.log(size - 1) + np.euler_gamma) - 2 * (size - 1) / size if size > 2 else float(size == 2)
@@ -141,7 +145,7 @@ def fitted(counted: DataFrame, trees: int = TREES, sample_rows: int = SAMPLE_ROW
     points = counted.filter("n_words > 0").select(*STATISTICS).distinct()
     rows = hashed_sample(points, list(STATISTICS), trees * sample_rows).orderBy(*STATISTICS).toPandas()
     shuffled = np.random.default_rng(5).permutation(len(rows))
-    points = features(rows)[shuffled] if len(rows) else np.zeros((0, 8))
+    points = features(rows)[shuffled] if len(rows) else np.zeros((0, FEATURES))
     each = max(1, min(sample_rows, len(points)))
     pick = np.random.default_rng(7)
     samples = []
@@ -160,8 +164,8 @@ def scored(counted: DataFrame, forest: Forest) -> DataFrame:
 
 
 def threshold(scores: DataFrame, labels: DataFrame, most_lost: float = MOST_CLEAN_LOST) -> float:
-    """The least score that all but ``most_lost`` of the good labelled rows stay below,
-    unless a higher one divides good from bad as well. From all labelled rows."""
+    """The score that divides good from bad labelled rows best while all but ``most_lost`` of
+    the good stay below; the middle one of equals. From all labelled rows."""
     marked = labels.filter("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     counts = (
         scores.filter("not base_failed").join(marked, "doc_id")
@@ -175,7 +179,9 @@ def threshold(scores: DataFrame, labels: DataFrame, most_lost: float = MOST_CLEA
         return 0.6
     lost = good[::-1].cumsum()[::-1] / good.sum()
     caught = bad[::-1].cumsum()[::-1] / bad.sum()
-    return int(np.argmax(np.where(lost <= most_lost, caught - lost, -1))) / BINS
+    gain = np.where(lost <= most_lost, caught - lost, -1)
+    best = np.flatnonzero(gain == gain.max())
+    return float(best.mean()) / BINS
 
 
 def judge(documents: DataFrame, labels: DataFrame) -> DataFrame:
