@@ -51,16 +51,17 @@ def pieces(documents: DataFrame, vocabulary: str = VOCABULARY, kind: str = "byte
     ``part`` is the task and ``nth`` the number of pieces of equal length before it there.
     """
     small_batches(documents.sparkSession, 500)
-    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, seen = Encoder.of(kind, vocabulary), np.zeros(window + 1, np.int64)
         part = TaskContext.get().partitionId()
         for batch in batches:
             doc, start, length, total, ids, nth = [], [], [], [], [], []
-            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encoder.ids(batch.column("text").to_pylist())):
-                found += end
-                tokens = len(found) // 4
+            values, bounds = encoder.ids(batch.column("text").to_pylist())
+            every = np.insert(values.astype("<u4"), bounds[1:], end_id).tobytes()
+            for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
+                first, last = (int(bounds[x]) + x for x in (row, row + 1))
+                found, tokens = every[4 * first : 4 * last], last - first
                 for at in range(0, tokens, window):
                     size = min(window, tokens - at)
                     doc.append(doc_id)

@@ -24,7 +24,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from slotline.llm.common import new_path, small_batches, text_of
+from slotline.llm.common import new_path, small_batches, staged, text_of
 from slotline.llm.token_ids import Encoder
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -35,15 +35,14 @@ SCHEMA = "doc_id long, n_tokens long, offset long, ids array<int>"
 def encoded(documents: DataFrame, vocabulary: str = VOCABULARY, kind: str = "words", end_id: int = END_ID) -> DataFrame:
     """The rows of the files: documents in order, each with its ids and its offset in the file."""
     small_batches(documents.sparkSession, 500)
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = Encoder.of(kind, vocabulary), 0
         for batch in batches:
-            found = [ids + end for ids in encoder.ids(batch.column("text").to_pylist())]
-            counts = np.array([len(ids) // 4 for ids in found], np.int64)
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            values = pa.array(np.frombuffer(b"".join(found), "<i4"))
+            values, bounds = encoder.ids(batch.column("text").to_pylist())
+            values = pa.array(np.insert(values.astype(np.int32), bounds[1:], end_id))
+            ends = bounds + np.arange(len(bounds))
+            counts = ends[1:] - ends[:-1]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -94,7 +93,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.col("_metadata.file_name"))
     held = files.groupBy("file").agg(F.sum("n_tokens").alias("held"))
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    starts = held.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("earlier"))
+    # Stored, so that the planner knows how few rows these are before it joins.
+    starts = staged(held.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("earlier")), "file-starts")
     return files.join(starts, "file").select("doc_id", (F.col("earlier") + F.col("offset")).alias("start"), "n_tokens", "ids")
 
 
