@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import packing, quality_rules, token_files
+from slotline.llm import packing, quality_labels, quality_rules, token_files, toxicity
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_labels.classify(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc(token_files.round_trip(table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.packed(table(spark, sf_dir, "documents"))
     return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -32,7 +40,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_token_files": op3_token_files,
+    "op4_toxicity": op4_toxicity,
     "op8_packing": op8_packing,
 }
 ORACLE: dict[str, str] = {}
