@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import packing, quality_labels, quality_rules, token_files, toxicity
+from slotline.llm import packing, quality_labels, quality_rules, token_files, toxicity, url_rules
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,11 +38,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages")).drop("mined")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op8_packing": op8_packing,
+    "op9_url_filters": op9_url_filters,
 }
 ORACLE: dict[str, str] = {}
