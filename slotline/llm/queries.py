@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import packing, quality_labels, quality_rules, token_files, toxicity, url_rules
+from slotline.llm import html_template, packing, quality_labels, quality_rules, token_files, toxicity, url_rules
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.packed(table(spark, sf_dir, "documents"))
     return placed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
+    "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
 }
