@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import html_template, packing, quality_labels, quality_rules, token_files, toxicity, url_rules
+from slotline.llm import html_template, packing, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_template.extract(table(spark, sf_dir, "pages"))
 
@@ -51,8 +57,20 @@ QUERIES: dict[str, Query] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
+    "op5_warc": op5_warc,
     "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN p.page_id <> f.first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+        FROM p LEFT JOIN f USING (payload_digest)
+    """,
+}
