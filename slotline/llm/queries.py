@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import html_template, packing, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
+from slotline.llm import html_template, packing, phrase_index, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_template.extract(table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op5_warc": op5_warc,
+    "op6_decontamination": op6_decontamination,
     "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
@@ -73,4 +78,37 @@ ORACLE: dict[str, str] = {
                CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
         FROM p LEFT JOIN f USING (payload_digest)
     """,
+    # Looks every run of 10 words (and every run as long as a shorter item) up among the items' runs.
+    "op6_decontamination": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS doc, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), b AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM benchmark
+        ), p AS (
+            SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS phrase
+            FROM (SELECT item_id, w, least(len(w), 10) AS size, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS s
+                  FROM b WHERE len(w) > 0)
+        ), o AS (
+            SELECT DISTINCT doc, s, z.size, p.item_id
+            FROM (SELECT doc, w, z.size, unnest(range(1, len(w) - z.size + 2)) AS s
+                  FROM d, (SELECT DISTINCT size FROM p) z WHERE len(w) >= z.size) z
+            JOIN p ON p.size = z.size AND p.phrase = array_to_string(w[s:s + z.size - 1], ' ')
+        ), h AS (
+            SELECT doc, count(DISTINCT x) AS n_hit
+            FROM (SELECT doc, unnest(range(s, s + size)) AS x FROM o) GROUP BY doc
+        ), i AS (
+            SELECT doc, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+            FROM (SELECT DISTINCT doc, item_id FROM o) GROUP BY doc
+        )
+        SELECT d.doc_id, coalesce(len(d.w), 0) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN h USING (doc) LEFT JOIN i USING (doc)
+    """,
 }
