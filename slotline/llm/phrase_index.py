@@ -123,6 +123,14 @@ def find(documents: DataFrame, items: DataFrame, width: int = WIDTH, terms: int
     return staged(occurrences(index, looked_up, width), "occurrences"), wanted
 
 
+def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The documents in which no phrase of the items occurs, with all their columns."""
+    found, _ = find(documents, items, width)
+    hits = staged(found.select(F.col("doc.doc_id").alias("hit_id"), F.col("doc.text").alias("hit_text")).distinct(), "hit-documents")
+    here = F.equal_null(F.col("doc_id"), F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_text"))
+    return documents.join(hits, here, "left_anti")
+
+
 def report(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for every document."""
     found, wanted = find(documents, items, width)

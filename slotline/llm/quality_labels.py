@@ -31,6 +31,7 @@ from slotline.llm.textstats import shingle_hashes, span_hashes, words
 FIT_ROWS = 6000
 WIDTH = 2048
 ROUNDS = 100
+KEPT_FROM = 0.5
 
 #: Character classes by byte: 0 lower case, 1 upper case, 2 digit, 3 beyond ASCII, others as they are.
 _CLASS = np.arange(256, dtype=np.uint8)
@@ -136,8 +137,8 @@ def fit(sample: pd.DataFrame, width: int = WIDTH) -> tuple[np.ndarray, float]:
     return linear.fitted(rows, join("columns", "<i2").astype(int), join("values", "<f4"), belief, width)
 
 
-def classify(documents: DataFrame) -> DataFrame:
-    """doc_id, score (0 to 1, higher is better) and kept for every document."""
+def scorer(documents: DataFrame) -> Column:
+    """The score of ``text`` (0 to 1, higher is better) by a scorer fitted to these documents' weak labels."""
     spark = documents.sparkSession
     counted = staged(votes(statistics(documents)), "votes")
     counts = {row["pattern"]: row["count"] for row in counted.groupBy("pattern").count().collect()}
@@ -170,7 +171,21 @@ def classify(documents: DataFrame) -> DataFrame:
             out.append(float(weights[columns] @ values) + intercept)
         return pd.Series(linear.sigmoid(np.array(out, float)))
 
-    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return texts.select("doc_id", score("text").alias("score"), has_words.alias("has_words")).select(
-        "doc_id", "score", (F.col("has_words") & (F.col("score") >= 0.5)).alias("kept")
+    return score("text")
+
+
+def _has_words() -> Column:
+    return F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+
+
+def only_good(documents: DataFrame) -> DataFrame:
+    """The documents that the classifier keeps, with all their columns."""
+    return documents.filter(_has_words() & (scorer(documents) >= KEPT_FROM))
+
+
+def classify(documents: DataFrame) -> DataFrame:
+    """doc_id, score and kept for every document."""
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), scorer(documents).alias("score"), _has_words().alias("has_words")
     )
+    return rows.select("doc_id", "score", (F.col("has_words") & (F.col("score") >= KEPT_FROM)).alias("kept"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import html_template, packing, phrase_index, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
+from slotline.llm import html_template, order_minhash, packing, phrase_index, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages")).drop("mined")
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -66,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op7_html_extraction": op7_html_extraction,
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
+    "op10_order_minhash": op10_order_minhash,
 }
 ORACLE: dict[str, str] = {
     "op5_warc": """

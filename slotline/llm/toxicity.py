@@ -243,8 +243,8 @@ def fitted(documents: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS
     return Model(buckets, weights, intercept)
 
 
-def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted for every document."""
+def scorer(documents: DataFrame, labels: DataFrame) -> Column:
+    """The score of ``text`` by a model fitted on these documents' labelled rows."""
     small_batches(documents.sparkSession)
     model = fitted(documents, labels)
 
@@ -252,6 +252,17 @@ def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
     def score(text: pd.Series) -> pd.Series:
         return pd.Series([model.score(one) for one in text], dtype=float)
 
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), score("text").alias("score"))
+    return score("text")
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that aren't predicted toxic, with all their columns."""
+    return documents.filter(scorer(documents, labels) < TOXIC_FROM)
+
+
+def scored(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted for every document."""
+    score = scorer(documents, labels)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), score.alias("score"))
     held_out = F.coalesce(fold() == 1, F.lit(False))
     return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
