@@ -100,7 +100,8 @@ def least_squares(columns: np.ndarray, target: np.ndarray, tolerance: float = 1e
         active[best] = True
         while True:
             chosen = np.flatnonzero(active)
-            solved = np.linalg.lstsq(columns[:, chosen], target, rcond=None)[0]
+            own = columns[:, chosen]
+            solved = np.linalg.solve(own.T @ own + 1e-9 * np.eye(len(chosen)), own.T @ target)
             if (solved > 0).all():
                 x[:] = 0
                 x[chosen] = solved
