@@ -260,7 +260,6 @@ def main_text(html: str | None, container: str | None, fixed: frozenset[str]) ->
     """The text of a page in its template's slots."""
     page = parsed(html)
     within = {x for x, e in enumerate(page.elements) if e.path == container}
-    plain = lambda inside, words: not any(page.elements[x].aside for x in inside)
     if within and page.elements[min(within)].name not in ARTICLE:
         own = {x for x, e in enumerate(page.elements) if e.name in ARTICLE}
         held = sum(len(words) for inside, _, words in page.blocks if own & {*inside})
@@ -269,8 +268,14 @@ def main_text(html: str | None, container: str | None, fixed: frozenset[str]) ->
         within = {x for x, e in enumerate(page.elements) if e.name in ARTICLE and not e.aside}
     if not within:
         within = {x for x, e in enumerate(page.elements) if e.article and not e.aside}
+    # Where nothing is named for the article, what all pages of the host say is the template's.
+    named = any(page.elements[x].article for x in within)
     kept = []
-    for inside, _, words in page.blocks:
+    for inside, aside, words in page.blocks:
+        if not named:
+            role = page.elements[inside[-1]].path if inside else ""
+            if f"{role}\t{words[:LONGEST_TOKEN]}\t{len(words)}" in fixed:
+                continue
         if within:
             if not within & {*inside}:
                 continue
@@ -279,10 +284,8 @@ def main_text(html: str | None, container: str | None, fixed: frozenset[str]) ->
             outer = [x for x in inside if x < first and page.elements[x].name not in ("html", "body")]
             if any(page.elements[x].aside for x in beyond) or any(page.elements[x].name in ASIDE for x in outer):
                 continue
-        else:
-            role = page.elements[inside[-1]].path if inside else ""
-            if not plain(inside, words) or f"{role}\t{words[:LONGEST_TOKEN]}\t{len(words)}" in fixed:
-                continue
+        elif aside:
+            continue
         kept.append(words)
     return "\n".join(kept)
 

@@ -2,32 +2,32 @@
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A to Z. A phrase is a run of
 ``width`` consecutive words of an item, or the whole item where it is shorter. The terms of phrases
-are counted over all documents. Each phrase is looked up by its rarest terms: the index stores a posting
-(document, position, and the words around) for each place where such a term stands in a document, the
-postings of a phrase's terms are moved by the terms' offsets, and places that all of its lists
-have are checked word for word.
+are counted over all documents. Each phrase is looked up by its two rarest terms: the index stores a posting
+(document and position, and for the rarest the words around) for each place where such a term stands in a
+document. Phrases of an item that have the same two terms are looked up together: the postings of both
+terms are moved by the terms' distance and intersected, and the places that both lists have are compared word
+for word, phrase by phrase.
 
-The index holds only the ``terms`` rarest terms of each phrase, which is what keeps it far smaller than
-the text; every place of a phrase has all of its terms, so nothing is missed. Places of a phrase
-are grouped by document and place, never by term or phrase, so that a word or passage that a third of all
-documents share is spread over all tasks; rows never pair documents with one another.
+The index holds only the rarest terms of phrases, which is what keeps it far smaller than the text;
+every place of a phrase has all of its terms, so nothing is missed. Places are grouped by document and place,
+never by term or phrase, so that a word or passage that a third of all documents share is spread over all
+tasks; rows never pair documents with one another.
 
 Null and empty texts, and such without words, have no words and no hits; null or word-free items have no
 phrases and never occur. An item without an id counts as id ``""``. Rows are told apart by doc_id and
-text: repeated rows give repeated results. Empty tables give no hits or no rows. Only ``doc_id``, ``item_id`` and
-``text`` are read. Words are compared in full; a hash only joins rows of one document.
+a hash of the text: repeated rows give repeated results. Empty tables give no hits or no rows. Only
+``doc_id``, ``item_id`` and ``text`` are read. Words are compared in full.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotline.llm.common import staged
 from slotline.llm.url_rules import LOWER, UPPER
 
 WIDTH = 10
-TERMS = 2
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -38,12 +38,14 @@ def words(text: str = "text") -> Column:
 
 
 def phrases(items: DataFrame, width: int = WIDTH) -> DataFrame:
-    """item_id and each of its phrases, an array of words."""
+    """For each phrase: item_id, its first position in the item (from 0), and its words."""
     rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), words().alias("words"))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("words") - width + 1, F.lit(1))), lambda at: F.slice("words", at, width)
+    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - width, F.lit(0)))
+    # Rows that repeat an item are one; rows that share an id but not the words are told apart.
+    rows = rows.filter(F.size("words") > 0).distinct().withColumn("item", F.monotonically_increasing_id())
+    return rows.select("item", "item_id", "words", F.explode(starts).alias("start")).withColumn(
+        "phrase", F.slice("words", F.col("start") + 1, width)
     )
-    return rows.filter(F.size("words") > 0).select("item_id", F.explode(runs).alias("phrase")).distinct()
 
 
 def term_counts(tokenised: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -53,43 +55,65 @@ def term_counts(tokenised: DataFrame, wanted: DataFrame) -> DataFrame:
     return terms.join(held, "term", "left").select("term", F.coalesce("held", F.lit(0)).alias("held"))
 
 
-def anchors(wanted: DataFrame, counts: DataFrame, terms: int = TERMS) -> DataFrame:
-    """A row for each phrase and each of its rarest terms: phrase_id, phrase, term, offset; ``bit`` says
-    which list of the phrase's it is, ``all_bits`` which there are."""
-    each = wanted.select("phrase_id", "phrase").distinct().select("phrase_id", "phrase", F.posexplode("phrase").alias("offset", "term"))
-    rank = F.row_number().over(Window.partitionBy("phrase_id").orderBy("held", "term", "offset"))
-    power = lambda x: F.call_function("shiftleft", F.lit(1), x)
-    return each.join(counts, "term").withColumn("rank", rank).filter(F.col("rank") <= terms).select(
-        "phrase_id", "phrase", "term", "offset", power(F.col("rank") - 1).alias("bit"),
-        (power(F.least(F.size("phrase"), F.lit(terms))) - 1).alias("all_bits"),
+def lookups(wanted: DataFrame, counts: DataFrame) -> DataFrame:
+    """Phrases of an item with the same two rarest terms, as one row: group, item_id, run (the words that the
+    phrases cover), size (words of a phrase), rarest and second (terms), before (words of the run before the rarest)
+    and distance (from the rarest to the second; null for phrases of one word)."""
+    each = wanted.select("item", "start", F.posexplode("phrase").alias("offset", "term")).join(counts, "term")
+    place = F.struct("held", "term", (F.col("start") + F.col("offset")).alias("at"))
+    least = each.groupBy("item", "start").agg(F.slice(F.sort_array(F.collect_list(place)), 1, 2).alias("least"))
+    rows = wanted.join(least, ["item", "start"])
+    grouped = rows.groupBy("item", "item_id", "least").agg(
+        F.min("start").alias("first"), F.max("start").alias("last"), F.first(F.size("phrase")).alias("size"),
+        F.first("words").alias("words"),
+    )
+    one, two = F.col("least")[0], F.get("least", F.lit(1))
+    return grouped.select(
+        F.monotonically_increasing_id().alias("group"), "item_id", "size",
+        F.slice("words", F.col("first") + 1, F.col("last") - F.col("first") + F.col("size")).alias("run"),
+        one["term"].alias("rarest"), two["term"].alias("second"),
+        (one["at"] - F.col("first")).alias("before"), (two["at"] - one["at"]).alias("distance"),
     )
 
 
 def postings(tokenised: DataFrame, terms: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The index: term, doc, at (position from 0) and around, the words up to ``width - 1`` away."""
+    """The index: term, doc, at (position from 0) and, for terms ``wide``, the words up to ``width - 1`` away."""
     around = F.slice(
         F.col("words"), F.greatest(F.col("at") - (width - 2), F.lit(1)),
         F.least(F.col("at"), F.lit(width - 1)) + width,
     )
     return (
-        tokenised.select("doc", "words", F.posexplode("words").alias("at", "term"))
-        .join(terms, "term").select("term", "doc", "at", around.alias("around"))
+        tokenised.select("doc", "words", F.posexplode("words").alias("at", "term")).join(terms, "term")
+        .select("term", "doc", "at", F.when(F.col("wide"), around).alias("around"))
     )
 
 
-def occurrences(index: DataFrame, looked_up: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Where phrases occur: doc, phrase_id, size and first position (from 0). Each once."""
-    moved = index.join(looked_up, "term").withColumn("start", F.col("at") - F.col("offset")).filter("start >= 0")
-    # Where the phrase would stand among the words around its term.
-    begin = F.least(F.col("at"), F.lit(width - 1)) - F.col("offset") + 1
-    same = F.slice("around", begin, F.size("phrase")) == F.col("phrase")
-    # The lists meet at the places that each of them has; those are compared word for word.
-    return (
-        moved.withColumn("same", same).withColumn("size", F.size("phrase"))
-        .groupBy("doc", "start", "phrase_id", "size", "all_bits")
-        .agg(F.bit_or("bit").alias("bits"), F.bool_and("same").alias("same"))
-        .filter("bits = all_bits and same").select("doc", "start", "phrase_id", "size")
+def occurrences(index: DataFrame, groups: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Where phrases occur: doc, item_id and ``hit``, the positions (from 0) that a group's phrases cover there."""
+    lists = groups.select("group", F.col("rarest").alias("term"), F.lit(0).alias("shift"), F.lit(1).alias("bit"),
+                          F.when(F.col("second").isNull(), 1).otherwise(3).alias("bits"))
+    second = groups.filter("second is not null").select(
+        "group", F.col("second").alias("term"), F.col("distance").alias("shift"), F.lit(2).alias("bit"), F.lit(3).alias("bits")
+    )
+    moved = index.join(lists.unionByName(second), "term").withColumn("place", F.col("at") - F.col("shift"))
+    met = (
+        moved.groupBy("doc", "place", "group", "bits")
+        .agg(F.bit_or("bit").alias("had"), F.max(F.when(F.col("bit") == 1, F.col("around"))).alias("around"))
+        .filter("had = bits").join(groups.select("group", "item_id", "size", "run", "before"), "group")
     )
+    # Where the run would begin in the document, and among the words around the rarest term.
+    begin = F.col("place") - F.col("before")
+    shift = begin - F.greatest(F.col("place") - (width - 1), F.lit(0))
+    same = F.transform("run", lambda word, i: F.coalesce(F.get("around", F.col("shift") + i) == word, F.lit(False)))
+    covered = F.transform(
+        F.filter(
+            F.sequence(F.lit(0), F.size("run") - F.col("size")),
+            lambda at: F.forall(F.slice("same", at + 1, F.col("size")), lambda x: x),
+        ),
+        lambda at: F.sequence(F.col("begin") + at, F.col("begin") + at + F.col("size") - 1),
+    )
+    rows = met.withColumns({"begin": begin, "shift": shift}).withColumn("same", same)
+    return rows.select("doc", "item_id", F.array_distinct(F.flatten(covered)).alias("hit")).filter(F.size("hit") > 0)
 
 
 def near(index: DataFrame, first: str, second: str, within: int) -> DataFrame:
@@ -110,22 +134,23 @@ def _key() -> Column:
     return F.struct(F.col("doc_id"), F.xxhash64("text").alias("text"))
 
 
-def find(documents: DataFrame, items: DataFrame, width: int = WIDTH, terms: int = TERMS) -> tuple[DataFrame, DataFrame]:
-    """Occurrences of the items' phrases in the documents, and the phrases with their items (both stored)."""
+def find(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Occurrences of the items' phrases in the documents, stored."""
     tokenised = documents.select(_key().alias("doc"), words().alias("words"))
     wanted = staged(phrases(items, width), "phrases")
-    # Numbers for the phrases, stored so that they stay what they are.
-    numbered = wanted.select("phrase").distinct().withColumn("phrase_id", F.monotonically_increasing_id())
-    wanted = staged(wanted.join(staged(numbered, "phrase-numbers"), "phrase"), "numbered-phrases")
     counts = staged(term_counts(tokenised, wanted), "term-counts")
-    looked_up = staged(anchors(wanted, counts, terms), "anchors")
-    index = staged(postings(tokenised, looked_up.select("term").distinct(), width), "postings")
-    return staged(occurrences(index, looked_up, width), "occurrences"), wanted
+    groups = staged(lookups(wanted, counts), "lookups")
+    terms = groups.select(F.col("rarest").alias("term"), F.lit(True).alias("wide")).unionByName(
+        groups.filter("second is not null").select(F.col("second").alias("term"), F.lit(False).alias("wide"))
+    )
+    terms = staged(terms.groupBy("term").agg(F.bool_or("wide").alias("wide")), "indexed-terms")
+    index = staged(postings(tokenised, terms, width), "postings")
+    return staged(occurrences(index, groups, width), "occurrences")
 
 
 def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """The documents in which no phrase of the items occurs, with all their columns."""
-    found, _ = find(documents, items, width)
+    found = find(documents, items, width)
     hits = staged(found.select(F.col("doc.doc_id").alias("hit_id"), F.col("doc.text").alias("hit_text")).distinct(), "hit-documents")
     here = F.equal_null(F.col("doc_id"), F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_text"))
     return documents.join(hits, here, "left_anti")
@@ -133,14 +158,13 @@ def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFra
 
 def report(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for every document."""
-    found, wanted = find(documents, items, width)
-    places = found.select("doc", F.explode(F.sequence("start", F.col("start") + F.col("size") - 1)).alias("at")).distinct()
-    hit = places.groupBy("doc").agg(F.count(F.lit(1)).alias("n_hit"))
-    which = (
-        found.select("doc", "phrase_id").distinct().join(wanted.select("phrase_id", "item_id"), "phrase_id")
-        .groupBy("doc").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    )
-    hits = staged(hit.join(which, "doc"), "document-hits").withColumnRenamed("doc", "hit_doc")
+    found = find(documents, items, width)
+    # A document's hits are gathered, as they are no more than its words and the items that share them.
+    by_document = found.groupBy(F.col("doc").alias("hit_doc")).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("hit")))).alias("n_hit"),
+        F.array_sort(F.collect_set("item_id")).alias("items"),
+    )
+    hits = staged(by_document, "document-hits")
     rows = documents.select("doc_id", _key().alias("doc"), F.size(words()).cast("long").alias("n_words"))
     same = F.equal_null(F.col("doc.doc_id"), F.col("hit_doc.doc_id")) & (F.col("doc.text") == F.col("hit_doc.text"))
     number = F.coalesce("n_hit", F.lit(0)).cast("long")
