@@ -467,7 +467,7 @@ def split_extract(spark, sf_dir):
 @query
 def sink_readback(spark, sf_dir):
     path = scratch_path(spark, "extract")
-    extract(spark, sf_dir).write(path, claims_per_part=100)
+    extract(spark, sf_dir).write(path, records_per_part=500)
     return _per_file(read_files(spark, path))
 
 

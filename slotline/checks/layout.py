@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotline.operators.ordered import in_order, previous_value, sum_before
+from slotline.operators.ordered import previous_value, sum_before
 
 TYPE = ["record_type"]
 
@@ -44,11 +44,10 @@ def length_mismatches(layout: DataFrame) -> DataFrame:
 
 def gaps_and_overlaps(layout: DataFrame) -> DataFrame:
     """Fields that do not start right after the field before them."""
-    ordered = in_order(layout, TYPE, ["start", "line"], "layout-fields")
     start, before = F.col("start"), F.col("previous_end")
     step = start - before - 1
     kind = F.when(step > 0, "GAP").otherwise("OVERLAP")
-    return previous_value(ordered, TYPE, "end", "previous_end").where(step != 0).select(
+    return previous_value(layout, TYPE, ["start", "line"], "end", "previous_end").where(step != 0).select(
         *_issue(
             kind,
             "ERROR",
@@ -112,8 +111,7 @@ def summary(layout: DataFrame) -> DataFrame:
 
 def width_drift(layout: DataFrame) -> DataFrame:
     """Where each field really lands when pads differ from stated positions."""
-    ordered = in_order(layout, TYPE, ["start", "line"], "layout-fields")
-    return sum_before(ordered, TYPE, "pad_len", "before").select(
+    return sum_before(layout, TYPE, ["start", "line"], "pad_len", "before").select(
         *TYPE,
         "field_name",
         "line",

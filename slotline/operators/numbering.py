@@ -5,38 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotline.operators.ordered import earlier_pieces, in_order
+from slotline.operators.ordered import in_pieces, sums_before_pieces
 from slotline.operators.selection import FILE
 
 
 def number_claims(phased: DataFrame, strict_nulls: bool = False) -> DataFrame:
-    """Adds ``claim_sequence`` (by id) and the totals of the claim's file.
+    """Adds ``claim_sequence`` (by id), ``records_before`` and the totals of the claim's file.
 
-    A claim's number is its place in its piece plus the claims of its file in
-    earlier pieces, which is a table of at most one row per task and file.  Only
-    narrow keys are sorted, and no window runs over them.
+    A claim's number is its place among the claims of its file whose ids are near,
+    plus the claims of its file with smaller ids, summed up piece by piece.
+    ``records_before`` counts the headers and lines of the claims before it.
     """
-    placed = in_order(phased.select(*FILE, "id", "line_count"), FILE, ["id"], "claim-places")
-    pieces = placed.groupBy(*FILE, "piece").agg(
-        F.min("place").alias("first_place"),
-        F.count(F.lit(1)).alias("claims"),
-        F.sum("line_count").alias("lines"),
+    rows = in_pieces(phased, "id")
+    lines = F.coalesce("line_count", F.lit(0))
+    near = Window.partitionBy(*FILE, "piece").orderBy("id")
+    within = rows.withColumns(
+        {
+            "place": F.row_number().over(near).cast("bigint"),
+            "lines_within": F.coalesce(F.sum(lines).over(near.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        }
     )
-    whole = Window.partitionBy(*FILE)
-    claims_before = F.coalesce(F.sum("claims").over(earlier_pieces(FILE)), F.lit(0))
-    total_lines = F.sum("lines").over(whole)
-    offsets = pieces.select(
-        *FILE,
-        "piece",
-        (claims_before - F.col("first_place") + 1).alias("shift"),
-        F.sum("claims").over(whole).alias("total_claim_headers"),
+    narrow = rows.select(*FILE, "block", "piece", "line_count")
+    before = sums_before_pieces(narrow, FILE, {"claims_before": F.count(F.lit(1)), "lines_before": F.sum(lines)})
+    total_lines = F.sum("line_count")
+    totals = narrow.groupBy(*FILE).agg(
+        F.count(F.lit(1)).alias("total_claim_headers"),
         (total_lines if strict_nulls else F.coalesce(total_lines, F.lit(0))).alias("total_claim_lines"),
     )
-    return placed.join(offsets, [*FILE, "piece"]).select(
-        *FILE,
-        "id",
-        "line_count",
-        (F.col("place") + F.col("shift")).alias("claim_sequence"),
+    number = F.col("claims_before") + F.col("place")
+    return within.join(before, [*FILE, "piece"]).join(totals, FILE).select(
+        *phased.columns,
+        number.alias("claim_sequence"),
+        (number - 1 + F.col("lines_before") + F.col("lines_within")).alias("records_before"),
         "total_claim_headers",
         "total_claim_lines",
     )

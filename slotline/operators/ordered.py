@@ -1,65 +1,89 @@
 """Order-dependent values over groups of any size.
 
-A plain window over a large group sorts it in one task.  Here rows are cut by
-ranges of (group, order) into pieces, one per task; a value that needs earlier
-rows is worked out within its piece and completed from one row per earlier piece.
+A plain window over a large group sorts it in one task.  Here rows are cut into
+pieces by the whole number they are ordered by: 2^20 neighbouring numbers are a
+piece, 2^20 neighbouring pieces a block.  A value that needs earlier rows is worked
+out within its piece and completed from a row per earlier piece of the block and
+a row per earlier block.  The cut is a function of the row alone: nothing is
+sampled, stored or counted beforehand, and a second run cuts alike.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotline.session import stage
+PIECE_BITS = 20
 
-# A generated row id holds the task in its upper bits, the row in its lower 33.
-_ROW_BITS = 33
 
+def in_pieces(frame: DataFrame, number: str) -> DataFrame:
+    """``frame`` with ``piece`` and ``block``, by the whole number rows are ordered by."""
+    return frame.withColumns(
+        {"piece": F.shiftright(number, PIECE_BITS), "block": F.shiftright(number, 2 * PIECE_BITS)}
+    )
 
-def in_order(frame: DataFrame, group: list[str], order: list[str], label: str) -> DataFrame:
-    """``frame`` with ``place``, ascending by group and order, and its ``piece``.
 
-    The result is staged: ranges are sampled, so a second run of the same plan
-    could cut them elsewhere, and all later steps rely on one cut.
-    """
-    placed = stage(
-        frame.repartitionByRange(*group, *order)
-        .sortWithinPartitions(*group, *order)
-        .withColumn("place", F.monotonically_increasing_id()),
-        label,
-    )
-    return placed.withColumn("piece", F.shiftright("place", _ROW_BITS))
+def _earlier(group: list[str], order: str):
+    return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+
 
+def sums_before_pieces(ordered: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
+    """For each piece the sums over the group's rows in earlier pieces; ``sums`` are aggregates by name."""
+    pieces = ordered.groupBy(*group, "block", "piece").agg(*[value.alias(name) for name, value in sums.items()])
+    blocks = pieces.groupBy(*group, F.col("block").alias("in_block")).agg(*[F.sum(name).alias(name) for name in sums])
+    none = lambda column: F.coalesce(column, F.lit(0))
+    blocks = blocks.select(
+        *[F.col(name).alias(f"of_{name}") for name in group], "in_block",
+        *[none(F.sum(name).over(_earlier(group, "in_block"))).alias(f"block_{name}") for name in sums],
+    )
+    within = pieces.select(
+        *group, "block", "piece",
+        *[none(F.sum(name).over(_earlier([*group, "block"], "piece"))).alias(name) for name in sums],
+    )
+    joined = within.join(blocks, same(group, [f"of_{name}" for name in group]) & (F.col("block") == F.col("in_block")))
+    return joined.select(*group, "piece", *[(F.col(name) + F.col(f"block_{name}")).alias(name) for name in sums])
 
-def earlier_pieces(group: list[str]):
-    """Window over a group's pieces before the current one: a row per piece."""
-    return Window.partitionBy(*group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
 
+def same(left: list[str], right: list[str]) -> Column:
+    """Equality of columns in which NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.equal_null(a, b) for a, b in zip(left, right)])
 
-def previous_value(ordered: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
-    """``column`` of the row before in the group; NULL on the group's first row."""
-    tails = ordered.groupBy(*group, "piece").agg(F.max_by(column, "place").alias("tail"))
+
+def _with_pieces(ordered: DataFrame, pieces: DataFrame, group: list[str]) -> DataFrame:
+    """Rows joined with what their piece has; groups may be NULL, pieces as well."""
+    keys = [*group, "piece"]
+    other = pieces.select(*[F.col(name).alias(f"of_{name}") for name in keys], *[x for x in pieces.columns if x not in keys])
+    return ordered.join(other, same(keys, [f"of_{name}" for name in keys])).drop(*[f"of_{name}" for name in keys])
+
+
+def previous_value(frame: DataFrame, group: list[str], order: list[str], column: str, name: str) -> DataFrame:
+    """``column`` of the row before in the group; NULL on the group's first row.
+
+    The first of ``order`` is a whole number.
+    """
+    ordered = in_pieces(frame, order[0])
+    tails = ordered.groupBy(*group, "piece").agg(F.max_by(column, F.struct(*order)).alias("tail"))
     before = Window.partitionBy(*group).orderBy("piece")
     carried = tails.select(*group, "piece", F.lag("tail").over(before).alias("carried"))
-    within = Window.partitionBy(*group, "piece").orderBy("place")
+    within = Window.partitionBy(*group, "piece").orderBy(*order)
     return (
-        ordered.withColumn(name, F.lag(column).over(within))
-        .join(carried, [*group, "piece"])
+        _with_pieces(ordered.withColumn(name, F.lag(column).over(within)), carried, group)
         .withColumn(name, F.coalesce(name, "carried"))
-        .drop("carried")
+        .drop("carried", "piece", "block")
     )
 
 
-def sum_before(ordered: DataFrame, group: list[str], column: str, name: str) -> DataFrame:
+def sum_before(frame: DataFrame, group: list[str], order: list[str], column: str, name: str) -> DataFrame:
     """Sum of ``column`` over the group's rows before this one, 0 on the first."""
-    sums = ordered.groupBy(*group, "piece").agg(F.sum(column).alias("piece_sum"))
-    carried = sums.select(*group, "piece", F.sum("piece_sum").over(earlier_pieces(group)).alias("carried"))
+    ordered = in_pieces(frame, order[0])
+    carried = sums_before_pieces(ordered, group, {"carried": F.sum(column)})
     within = (
-        Window.partitionBy(*group, "piece").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*group, "piece").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        ordered.withColumn(name, F.sum(column).over(within))
-        .join(carried, [*group, "piece"])
+        _with_pieces(ordered.withColumn(name, F.sum(column).over(within)), carried, group)
         .withColumn(name, F.coalesce(name, F.lit(0)) + F.coalesce("carried", F.lit(0)))
-        .drop("carried")
+        .drop("carried", "piece", "block")
     )

@@ -9,10 +9,6 @@ from pyspark.sql import functions as F
 from slotline.functions.json_text import parse_payment
 from slotline.functions.text import flag, whole_number
 
-# Most claim ids to broadcast: as a hash table these take some 32 MB.
-BROADCAST_CLAIMS = 1_000_000
-
-
 def latest_payment(payments: DataFrame) -> DataFrame:
     """The response with the greatest ``created_at`` per claim; a NULL time wins.
 
@@ -26,17 +22,9 @@ def latest_payment(payments: DataFrame) -> DataFrame:
     return payments.withColumn("rank", F.row_number().over(newest)).where("rank = 1").drop("rank")
 
 
-def responses_of(payments: DataFrame, claims: DataFrame, claim_count: int) -> DataFrame:
-    """Only the responses of ``claims``, where those are few.
-
-    A day's claims are few against the history of responses, and dropping the
-    others first saves sorting and shuffling them.  With more claims than fit a
-    broadcast the responses stay as they are; the later join drops the others.
-    """
-    if claim_count > BROADCAST_CLAIMS:
-        return payments
-    ids = claims.select(F.col("id").alias("claim_id"))
-    return payments.join(F.broadcast(ids), "claim_id", "left_semi")
+def responses_of(payments: DataFrame, claims: DataFrame) -> DataFrame:
+    """Only the responses of ``claims``: those of a day are few against the history."""
+    return payments.join(claims.select(F.col("id").alias("claim_id")), "claim_id", "left_semi")
 
 
 def latest_payment_lateral(claims: DataFrame, payments: DataFrame) -> DataFrame:

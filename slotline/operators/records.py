@@ -137,7 +137,7 @@ def file_records(totals: DataFrame, layout: Layout) -> DataFrame:
 
 def named(numbered: DataFrame, parameters: DataFrame) -> DataFrame:
     """File names added; the parameters hold one row per day."""
-    return numbered.join(F.broadcast(parameters), "extract_date").withColumn(
+    return numbered.join(parameters, "extract_date").withColumn(
         "file_name", file_name(F.col("phase"), F.col("mac_id"), F.col("run_ts"))
     )
 
@@ -236,7 +236,9 @@ def _by_kind(kind: Column, choices: dict[str, Column]) -> Column:
 
 
 def section_rank() -> Column:
-    return _by_kind(F.col("record_type"), {name: F.lit(rank) for name, rank in SECTION_RANK.items()})
+    """Records of unknown types belong to the body."""
+    known = {name: F.lit(rank) for name, rank in SECTION_RANK.items()}
+    return F.coalesce(_by_kind(F.col("record_type"), known), F.lit(SECTION_RANK["CLAIM_LINE"]))
 
 
 def record_order(strict_sequence: bool = False) -> list[Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotline.functions.text import left_pad
+from slotline.operators.payments import responses_of
 
 FILE = ["extract_date", "mac_id", "phase"]
 
@@ -13,21 +14,21 @@ FILE = ["extract_date", "mac_id", "phase"]
 def claims_on_date(keys: DataFrame, parameters: DataFrame) -> DataFrame:
     """Claims with a contractor whose receipt date is one of the extract dates.
 
-    ``keys`` has ``mac_id`` and ``receipt_date``; both are compared as text.  The
-    parameters hold one row per day, a bound that does not grow with the claims,
-    so they may be broadcast.
+    ``keys`` has ``mac_id`` and ``receipt_date``; both are compared as text.
     """
     days = parameters.select("extract_date", F.date_format("extract_date", "yyyy-MM-dd").alias("receipt_date"))
-    return keys.where(F.col("mac_id").isNotNull()).join(F.broadcast(days), "receipt_date")
+    return keys.where(F.col("mac_id").isNotNull()).join(days, "receipt_date")
 
 
 def with_phase(selected: DataFrame, payments: DataFrame) -> DataFrame:
     """``P3`` where any payment response exists for the claim, else ``P2``.
 
-    Only existence counts here, so the responses shrink to distinct claim ids
-    before they are shuffled; a claim with very many responses costs nothing more.
+    Only existence counts here: of the responses nothing but the claim ids is read,
+    ids of other claims are dropped first, and the rest shrink to distinct ids before
+    they are shuffled.
     """
-    paid = payments.select(F.col("claim_id").alias("id")).distinct().withColumn("is_paid", F.lit(True))
+    paid = responses_of(payments.select("claim_id"), selected).distinct()
+    paid = paid.select(F.col("claim_id").alias("id"), F.lit(True).alias("is_paid"))
     return selected.join(paid, "id", "left").select(
         *selected.columns, F.when(F.col("is_paid"), "P3").otherwise("P2").alias("phase")
     )

@@ -8,20 +8,17 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotline.functions.json_text import parse_claim_key
 from slotline.layouts.records import FILE_HEADER, FILE_TRAILER
 from slotline.operators import records, selection
 from slotline.operators.lines import SECTION_RANK
 from slotline.operators.naming import file_name
 from slotline.operators.numbering import number_claims
 from slotline.operators.payments import responses_of
-from slotline.sinks.files import write_files
+from slotline.sinks.files import in_task_order, write_files
 from slotline.sources.claims import claim_keys, is_staged
 
 
-# Longest list of days to write into a query as literals.
-MOST_DAYS = 1000
-
-
 @dataclass
 class Extract:
     """All results of a run.
@@ -49,7 +46,7 @@ class Extract:
 
     @cached_property
     def numbered(self) -> DataFrame:
-        """Claim numbers and file totals; stages the narrow keys when first used."""
+        """Claim numbers and file totals."""
         return number_claims(self.phased, self.strict_nulls)
 
     def mac_dimension(self) -> DataFrame:
@@ -68,18 +65,13 @@ class Extract:
         return records.file_records(self.mac_totals(), FILE_TRAILER)
 
     def file_metadata(self) -> DataFrame:
-        return self.mac_dimension().join(F.broadcast(self.parameters), "extract_date").select(
+        return self.mac_dimension().join(self.parameters, "extract_date").select(
             *selection.FILE, file_name(F.col("phase"), F.col("mac_id"), F.col("run_ts")).alias("file_name")
         )
 
-    @cached_property
-    def claim_count(self) -> int:
-        return self.numbered.count()
-
     def claim_rows(self) -> DataFrame:
         named = records.named(self.numbered, self.parameters)
-        payments = responses_of(self.payments, self.numbered, self.claim_count)
-        return records.claim_rows(named, self._claims_of_days, payments)
+        return records.claim_rows(named, self._claims_of_days, responses_of(self.payments, self.selected))
 
     def all_records(self, *sections: str) -> DataFrame:
         """Unordered records with their text; all sections when none is named."""
@@ -100,33 +92,34 @@ class Extract:
             ordered = records.records_of(self.claim_rows().orderBy("file_name", "claim_sequence"))
         return ordered.select(*records.RECORD_COLUMNS, "record_content")
 
-    def write(self, path: str, claims_per_part: int = 10_000) -> None:
-        """One folder per file name, holding numbered parts of at most so many claims.
+    def write(self, path: str, records_per_part: int = 50_000) -> None:
+        """One folder per file name, whose text is its files in the order of their names.
 
-        Claims are placed by (file, part) before they are turned into records, so
-        a file of any size is written by many tasks, and only claims are shuffled.
+        Claims are placed by running number of parts, of about ``records_per_part`` records each,
+        before they are turned into records: a file of any size is written by many tasks, and
+        only claims are shuffled.  Of ``path`` only the folders of this run's files are replaced.
         """
-        part = F.floor((F.col("claim_sequence") - 1) / claims_per_part).cast("int")
-        rows = self.claim_rows().withColumn("part", part)
-        # At least one task per full part; for fewer, the planner's own number.
-        tasks = -(-self.claim_count // claims_per_part)
-        if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-            rows = rows.repartition(tasks, "file_name", "part")
-        else:
-            rows = rows.repartition("file_name", "part")
-        compact = records.records_of(rows, compact=True)
+        rows = self.claim_rows().withColumn("part", F.floor(F.col("records_before") / records_per_part))
+        held = F.col("total_claim_headers") + F.coalesce("total_claim_lines", F.lit(0))
+        parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(held / records_per_part)))
+        placed = in_task_order(rows, records.named(self.mac_totals(), self.parameters).select("file_name", parts.alias("part")))
+        compact = records.records_of(placed, compact=True)
         write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
 
     @cached_property
     def _claims_of_days(self) -> DataFrame:
-        """Of a staged claim table, only the folders of the wanted days.
+        """The claims received from the least to the greatest wanted day, before anything is joined.
 
-        Days known as literals prune folders while the query is planned; a list
-        too long for that is left to the join with the parameters.
+        Of a staged claim table these are folders, so that others are never listed or read;
+        documents given as text are dropped before they are shuffled.  Other days in between
+        are left to the join with the parameters.
         """
-        if not is_staged(self.claims):
-            return self.claims
-        days = [row[0] for row in self.parameters.select("extract_date").limit(MOST_DAYS + 1).collect()]
-        if len(days) > MOST_DAYS:
-            return self.claims
-        return self.claims.where(F.col("receipt_date").isin([day.isoformat() for day in days]))
+        days = self.parameters.agg(
+            F.date_format(F.min("extract_date"), "yyyy-MM-dd").alias("first"),
+            F.date_format(F.max("extract_date"), "yyyy-MM-dd").alias("last"),
+        )
+        if is_staged(self.claims):
+            return self.claims.where(F.col("receipt_date").between(days.select("first").scalar(), days.select("last").scalar()))
+        keyed = self.claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb")))))
+        between = F.col("receiptDate").between(days.select("first").scalar(), days.select("last").scalar())
+        return keyed.where(F.col("macId").isNotNull() & between).select("id", "claim_jsonb")

@@ -2,8 +2,8 @@
 
 Claims are ``(id BIGINT, claim_jsonb STRING)``.  A staged claim table instead has
 the document as a ``claim STRUCT``, parsed once for all later runs, and ``mac_id``,
-``receipt_date`` and ``line_count`` as columns.  It is laid out by ``receipt_date``:
-selecting a day then reads that day's files only, and selecting and numbering
+``receipt_date`` and ``line_count`` as columns.  It is laid out by ``receipt_date`` and
+the ``delivery`` that brought the claims: selecting a day then reads that day's files only, and selecting and numbering
 claims reads no part of the documents.
 """
 
@@ -24,6 +24,7 @@ STAGED_TABLE = (
     .add("mac_id", T.StringType())
     .add("line_count", T.LongType())
     .add("receipt_date", T.StringType())
+    .add("delivery", T.StringType())
 )
 
 
@@ -85,16 +86,18 @@ def parsed_claims(claims: DataFrame) -> DataFrame:
     return claims.select("id", parse_claim(F.col("claim_jsonb")).alias("claim"))
 
 
-def stage_claims(claims: DataFrame, path: str) -> None:
-    """Write claims as a typed table laid out by receipt date.
+def stage_claims(claims: DataFrame, path: str, delivery: str = "0") -> None:
+    """Add a delivery of claims to the typed table at ``path``, laid out by receipt date and delivery.
 
-    Ranges of (date, id) spread a busy day over many tasks and files.  They are
-    sampled and sorted on the text; documents are parsed whole only after that.
+    Staging a delivery again replaces what it brought for the dates it has now; other
+    deliveries and dates stay.  Ids that are near lie together, and a busy day is spread
+    over many tasks and files; documents are shuffled as text and parsed whole after that.
     """
+    near = F.shiftright("id", 16)
     placed = (
         claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb")))))
         .select("id", "claim_jsonb", F.col("receiptDate").alias("receipt_date"))
-        .repartitionByRange("receipt_date", "id")
+        .repartition("receipt_date", near)
         .sortWithinPartitions("receipt_date", "id")
     )
     (
@@ -105,9 +108,10 @@ def stage_claims(claims: DataFrame, path: str) -> None:
             F.col("claim.macId").alias("mac_id"),
             F.size("claim.serviceLines").cast("bigint").alias("line_count"),
             "receipt_date",
+            F.lit(delivery).alias("delivery"),
         )
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("receipt_date")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("receipt_date", "delivery")
         .parquet(path)
     )

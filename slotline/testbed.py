@@ -5,8 +5,8 @@ line items as service lines, and each event a payment response.  Rules:
 
 * ``id`` is the order key; ``macId`` is 10000 + the customer's nation, missing on
   every 97th order; claims are received in quarterly batches.
-* An order with more than ``LINES_PER_DOCUMENT`` lines is split into several
-  claims, so that no document grows with the number of lines of one order.
+* A document holds an order's lines of one range of part keys (``2 ** PART_BITS`` of them),
+  so that the lines of a very large order are spread over several claims.
 * Event ``e`` of user ``u`` pays claim ``100 u + e mod 29``: no join is needed, and
   the events of one busy user spread over 29 claims.
 * Values go missing by simple remainders, to reach every default and fall-back.
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LINES_PER_DOCUMENT = 5000
+PART_BITS = 20
 # Ids of the second and later documents of one order lie above all order keys.
 DOCUMENT_STEP = 1 << 40
 
@@ -39,15 +39,8 @@ def _unless(condition: Column, value: Column) -> Column:
 
 
 def _documents(lineitem: DataFrame) -> DataFrame:
-    """``l_orderkey, document, lines``: bounded groups of lines per order."""
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.where(F.col("n") > LINES_PER_DOCUMENT)
-    document = F.lit(0).cast("bigint")
-    # Most data has no such order; then the lines are not joined with anything.
-    if not large.isEmpty():
-        lineitem = lineitem.join(large, "l_orderkey", "left")
-        spread = F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber")
-        document = F.coalesce(F.pmod(spread, F.ceil(F.col("n") / LINES_PER_DOCUMENT)), document)
+    """``l_orderkey, document, lines``: the lines of an order and a range of parts."""
+    document = F.shiftright("l_partkey", PART_BITS)
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     line = F.struct(
         F.col("l_linenumber").alias("serviceLineNumber"),
@@ -77,10 +70,7 @@ def _documents(lineitem: DataFrame) -> DataFrame:
     # Array order is by part, not by line number, so that numbering has work to do.
     keyed = F.struct("l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", line.alias("line"))
     placed = lineitem.select("l_orderkey", document.alias("document"), keyed.alias("keyed"))
-    if "n" in lineitem.columns:
-        # The join leaves an order's lines together; spread them by document.
-        placed = placed.repartition("l_orderkey", "document")
-    # An array holds the lines of one document, whose number is bounded above.
+    # An array holds the lines of one document.
     return (
         placed.groupBy("l_orderkey", "document")
         .agg(F.array_sort(F.collect_list("keyed")).alias("keyed"))

@@ -3,7 +3,8 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from slotline import testbed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,24 +20,24 @@ def database():
 
 
 def test_every_query_has_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, database, name):
-    frame = contract.queries()[name](spark, SF_DIR)
+    frame = QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)
     got = sorted(repr(tuple(row[c] for c in columns)) for row in frame.collect())
-    cursor = database.execute(contract.oracle_sql()[name])
+    cursor = database.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     want = sorted(repr(tuple(row[names.index(c)] for c in columns)) for row in cursor.fetchall())
     assert got == want
 
 
-def test_orders_with_very_many_lines_become_several_claims(spark, monkeypatch):
+def test_lines_of_far_parts_become_several_claims(spark, monkeypatch):
     whole = testbed.claims(spark, SF_DIR).selectExpr("id", "claim_jsonb").count()
-    monkeypatch.setattr(testbed, "LINES_PER_DOCUMENT", 5)
+    monkeypatch.setattr(testbed, "PART_BITS", 4)
     claims = testbed.claims(spark, SF_DIR)
     assert claims.count() > whole
     assert claims.select("id").distinct().count() == claims.count()

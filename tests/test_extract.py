@@ -187,33 +187,19 @@ def test_staged_claims_give_the_same_extract(spark, tmp_path, make_claims, make_
     assert "PartitionFilters: [isnotnull(receipt_date" in plan or "PartitionFilters: [(receipt_date" in plan
 
 
-def test_result_does_not_depend_on_broadcasting_claims(run, monkeypatch):
-    documents = {i: claim() for i in range(1, 6)}
-    paid = [(i, "2025-01-01T00:00:00", {"interestRate": i}) for i in (2, 4, 9)]
-    want = records(run(documents, *paid))
-    monkeypatch.setattr("slotline.operators.payments.BROADCAST_CLAIMS", 0)
-    assert records(run(documents, *paid)) == want
-
-
 def test_written_files_hold_their_records_in_order(run, spark, tmp_path):
     documents = {i: claim(serviceLines=[line(2), line(1)]) for i in range(1, 26)}
     extract = run(documents, (3, None, {}))
     path = str(tmp_path / "extracts")
     for _ in range(2):  # the second run replaces the first
-        extract.write(path, claims_per_part=10)
+        extract.write(path, records_per_part=30)
     want = {}
     for r in records(extract):
         want.setdefault(r["file_name"], []).append(r["record_content"])
     for name, contents in want.items():
-        lines = []
-        folder = tmp_path / "extracts" / f"file_name={name}"
-        parts = sorted(folder.iterdir(), key=lambda p: int(p.name.split("=")[1]))
-        for part in parts:
-            files = list(part.glob("*.txt"))
-            assert len(files) == 1
-            lines += files[0].read_text().split("\n")[:-1]
-        assert lines == contents
-        assert len(parts) == (1 if "P3" in name else 3)
+        files = sorted((tmp_path / "extracts" / f"file_name={name}").glob("*.txt"))
+        assert [x for file in files for x in file.read_text().split("\n")[:-1]] == contents
+        assert len(files) == (1 if "P3" in name else 3)
     assert read_files(spark, path).count() == sum(map(len, want.values()))
 
 
@@ -223,8 +209,61 @@ def test_findings(make_claims, make_payments):
     assert got == {"lines_not_an_array": 1, "bad_line_numbers": 1, "bad_participation_flags": 1}
 
 
+def test_other_files_and_days_stay(spark, tmp_path, make_claims, make_payments):
+    """Two days into one folder, the first again, then the first with fewer claims."""
+    path, other = str(tmp_path / "extracts"), date(2025, 12, 11)
+    run_day = lambda documents, day: Extract(
+        make_claims(documents), make_payments(), extract_parameters(spark, day, RUN.replace(day=day.day + 1))
+    ).write(path, records_per_part=2)
+    first = {i: claim(receiptDate="2025-12-11") for i in range(9)}
+    run_day(first, other)
+    run_day({50: claim(), 51: claim()}, DAY)
+    count = lambda: {r.file_name[-19:-12]: r["count"] for r in read_files(spark, path).groupBy("file_name").count().collect()}
+    whole = count()
+    assert sorted(whole.values()) == [4, 11]
+    run_day(first, other)
+    assert count() == whole
+    run_day({1: claim(receiptDate="2025-12-11")}, other)
+    assert sorted(count().values()) == [3, 4]
+
+
+def test_deliveries_add_up(spark, tmp_path, make_claims):
+    path = str(tmp_path / "claims")
+    ids = lambda: sorted(r.id for r in read_staged_claims(spark, path).collect())
+    stage_claims(make_claims({1: claim(), 2: claim(receiptDate="2025-12-11")}), path, "a")
+    stage_claims(make_claims({3: claim()}), path, "b")
+    assert ids() == [1, 2, 3]
+    stage_claims(make_claims({4: claim()}), path, "b")
+    assert ids() == [1, 2, 4]
+
+
+def test_a_day_of_text_claims_is_cut_out_before_the_shuffle(run):
+    """Documents are filtered by day, and responses by claim, below any join or window with them."""
+    rows = run({1: claim()}, (1, None, {})).claim_rows()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda text: len(text) - len(text.lstrip(" :+-|"))
+    document = next(i for i, text in enumerate(plan) if "LogicalRDD [id" in text)
+    above = [text for i, text in enumerate(plan[:document]) if all(depth(text) < depth(x) for x in plan[i + 1 : document + 1])]
+    filters = [i for i, text in enumerate(above) if "Filter" in text and "scalar-subquery" in text]
+    joins = [i for i, text in enumerate(above) if "Join" in text]
+    assert filters and joins and min(filters) > max(joins)
+    window = next(i for i, text in enumerate(plan) if "Window" in text and "claim_id" in text)
+    assert any("Join LeftSemi" in text and depth(text) > depth(plan[window]) for text in plan[window:])
+
+
+def test_building_a_frame_starts_no_job(spark, run):
+    started = lambda: spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    extract = run({1: claim(serviceLines=[line(1)])}, (1, None, {}))
+    spark.sparkContext.setJobGroup("building", "building")
+    try:
+        extract.final(), extract.all_records(), extract.numbered, extract.mac_totals()
+        assert not started()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_numbering_has_no_window_over_a_file(run):
-    """Windows run over pieces and over a claim's responses, never over claims."""
+    """Windows over claims run within a piece, others over a claim's responses."""
     plan = run({1: claim()}).claim_rows()._jdf.queryExecution().optimizedPlan().toString()
     windows = [text for text in plan.split("\n") if "row_number" in text]
-    assert windows and all("claim_id" in text and "mac_id" not in text for text in windows)
+    assert windows and all("claim_id" in text or "piece" in text for text in windows)
