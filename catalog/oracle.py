@@ -10,14 +10,8 @@ from __future__ import annotations
 from slotline.layouts import CLAIM_HEADER, CLAIM_LINE, Slot
 
 _BASE = """
-WITH sized AS (
-    SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem
-),
-line AS (
-    SELECT l_orderkey AS okey,
-           CASE WHEN n > 5000
-                THEN (l_partkey * 31 + l_suppkey * 17 + l_linenumber) % CAST(ceil(n / 5000.0) AS BIGINT)
-                ELSE 0 END AS doc,
+WITH line AS (
+    SELECT l_orderkey AS okey, l_partkey >> 20 AS doc,
            l_linenumber AS number, l_partkey AS part, l_suppkey AS supp, l_extendedprice AS price,
            CASE WHEN l_partkey % 2 = 0 THEN l_partkey::VARCHAR END AS icn,
            CASE WHEN l_suppkey % 4 <> 0 THEN strftime(l_shipdate, '%Y-%m-%d') END AS service_date,
@@ -43,7 +37,7 @@ line AS (
            CASE WHEN l_partkey % 4 <> 0 THEN 'CITY ' || l_suppkey END AS city,
            CASE WHEN l_partkey % 4 <> 0 THEN l_linestatus END AS state,
            CASE WHEN l_partkey % 4 <> 0 THEN (l_suppkey + 10000)::VARCHAR END AS zip
-    FROM sized
+    FROM lineitem
 ),
 service AS (
     SELECT *,
@@ -514,6 +508,29 @@ ORACLE: dict[str, str] = {
     "clip_records": _RESULT + "SELECT record_sequence, record_type, record_content FROM clipped",
     "split_extract": _RESULT + _per_file("clipped", "record_content"),
     "sink_readback": _sections() + _per_file("final", "record_content"),
+    "sink_two_runs": _sections() + _per_file("final", "record_content"),
+    "sink_order": _sections()
+    + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY
+                    CASE record_type WHEN 'FILE_HEADER' THEN 0 WHEN 'FILE_TRAILER' THEN 2 ELSE 1 END,
+                    claim_sequence, line_sequence NULLS FIRST) - 1 AS position, md5(record_content) AS md5
+         FROM final""",
+    "split_order": _RESULT
+    + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY
+                    CASE record_type WHEN 'FILE_HEADER' THEN 0 WHEN 'FILE_TRAILER' THEN 2 ELSE 1 END,
+                    coalesce(claim_sequence - 1, record_sequence // 1000 - 2) NULLS LAST, record_sequence NULLS LAST,
+                    line_sequence NULLS FIRST, record_content) - 1 AS position, md5(record_content) AS md5
+         FROM clipped""",
+    "stage_two_deliveries": _BASE
+    + """SELECT strftime(extract_date, '%Y-%m-%d') AS receipt_date, CASE id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS delivery,
+                count(*) AS claims, CAST(coalesce(sum(line_count), 0) AS BIGINT) AS lines FROM claim GROUP BY ALL""",
+    "document_rejects": _BASE
+    + """SELECT id, CASE WHEN id % 50 = 8 THEN 0 END AS place,
+                CASE id % 50 WHEN 7 THEN 'unreadable' WHEN 8 THEN 'line is no object' ELSE 'not an object' END AS reason
+         FROM claim WHERE id % 50 IN (7, 9) OR id % 50 = 8 AND line_count > 0""",
+    "damaged_totals": _BASE
+    + f"""SELECT {_FILE}, count(*) AS total_claim_headers,
+                 CAST(coalesce(sum(line_count + CASE WHEN id % 50 = 8 THEN 1 ELSE 0 END), 0) AS BIGINT) AS total_claim_lines
+          FROM phased WHERE id % 50 NOT IN (7, 9) GROUP BY ALL""",
     "records_per_file": _sections() + "SELECT file_name, count(*) AS records FROM final GROUP BY file_name",
     "file_count": _sections() + "SELECT count(DISTINCT file_name) AS files, count(*) AS records FROM final",
     "record_widths": _sections()

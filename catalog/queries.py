@@ -6,7 +6,7 @@ from collections.abc import Callable
 from datetime import date, datetime, timezone
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,9 @@ from slotline.operators import adhoc, lines, payments, selection
 from slotline.plans import Extract
 from slotline.session import scratch_path
 from slotline.sinks import clip_records, read_files, split_result
+from slotline.sinks.files import read_whole
 from slotline.sources import claim_keys, extract_parameters, parse_result_lines, parsed_claims, read_result_table
+from slotline.sources import read_staged_claims, stage_claims
 from slotline.sources.result_table import accepted, rejected
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -471,9 +473,67 @@ def sink_readback(spark, sf_dir):
     return _per_file(read_files(spark, path))
 
 
+@query
+def sink_two_runs(spark, sf_dir):
+    """Two runs into one folder, the first of them again."""
+    path = scratch_path(spark, "extract")
+    days = testbed.parameters(spark, sf_dir)
+    for half in ("month(extract_date) < 6", "month(extract_date) > 6", "month(extract_date) < 6"):
+        Extract(testbed.claims(spark, sf_dir), testbed.payments(spark, sf_dir), days.where(half)).write(path)
+    return _per_file(read_files(spark, path))
+
+
+def _positions(spark, path):
+    """Each line of each file with its position, from the parts as written."""
+    whole = read_whole(spark, path)
+    held = whole.groupBy("file_name", "part").agg(F.count(F.lit(1)).alias("held"))
+    earlier = Window.partitionBy("file_name").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = held.select("file_name", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("start"))
+    return whole.join(starts, ["file_name", "part"]).select(
+        "file_name", (F.col("start") + F.col("line")).alias("position"), F.md5("value").alias("md5")
+    )
+
+
+@query
+def sink_order(spark, sf_dir):
+    path = scratch_path(spark, "extract")
+    extract(spark, sf_dir).write(path, records_per_part=500)
+    return _positions(spark, path)
+
+
+@query
+def split_order(spark, sf_dir):
+    path = scratch_path(spark, "split")
+    split_result(parse_result_lines(testbed.result_lines(spark, sf_dir)), path, claims_per_part=50)
+    return _positions(spark, path)
+
+
+@query
+def stage_two_deliveries(spark, sf_dir):
+    path = scratch_path(spark, "claims")
+    claims = testbed.claims(spark, sf_dir)
+    for delivery, part in (("a", "id % 2 = 0"), ("b", "id % 2 = 1"), ("b", "id % 2 = 1")):
+        stage_claims(claims.where(part), path, delivery)
+    staged = read_staged_claims(spark, path)
+    return staged.groupBy("receipt_date", "delivery").agg(
+        F.count(F.lit(1)).alias("claims"), F.coalesce(F.sum(F.greatest("line_count", F.lit(0))), F.lit(0)).alias("lines")
+    )
+
+
 # Checks
 
 
+@query
+def document_rejects(spark, sf_dir):
+    return record_checks.document_rejects(testbed.damaged_claims(spark, sf_dir))
+
+
+@query
+def damaged_totals(spark, sf_dir):
+    run = Extract(testbed.damaged_claims(spark, sf_dir), testbed.payments(spark, sf_dir), testbed.parameters(spark, sf_dir))
+    return run.mac_totals()
+
+
 @query
 def records_per_file(spark, sf_dir):
     return record_checks.records_per_file(extract(spark, sf_dir).all_records())

@@ -53,9 +53,12 @@ CLAIM_SCHEMA = (
     .add("serviceLines", T.ArrayType(LINE_SCHEMA))
 )
 
-# What selecting and counting claims needs; one key is enough to count lines.
-CLAIM_KEY_SCHEMA = _texts(["macId", "receiptDate"]).add(
-    "serviceLines", T.ArrayType(_texts(["serviceLineNumber"]))
+# What selecting and counting claims needs; any element of the array counts as a line.
+CLAIM_KEY_SCHEMA = _texts(["macId", "receiptDate"]).add("serviceLines", T.ArrayType(T.StringType()))
+
+# The claim with its lines as text, so that each is parsed by itself.
+_CLAIM_OF_TEXTS = T.StructType(
+    [x if x.name != "serviceLines" else T.StructField(x.name, T.ArrayType(T.StringType())) for x in CLAIM_SCHEMA]
 )
 
 PAYMENT_SCHEMA = (
@@ -73,13 +76,28 @@ _BARE_NUMBERS = (
 )
 
 
+# A bare number in an array of codes: behind the key, or behind the one before.
+_BARE_CODES = (
+    r'((?:"diagnosisCodes"\s*:\s*\[|(?<!^)\G\s*,)\s*(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"\s*,\s*)*+)'
+    r"(-?[0-9][0-9.eE+-]*)"
+)
+
+
 def keep_digits(document: Column) -> Column:
     """Quote bare numbers, so that ``100.50`` is read as the text ``100.50``."""
-    return F.regexp_replace(document, _BARE_NUMBERS, '$1"$2"')
+    return F.regexp_replace(F.regexp_replace(document, _BARE_NUMBERS, '$1"$2"'), _BARE_CODES, '$1"$2"')
 
 
 def parse_claim(document: Column) -> Column:
-    return F.from_json(keep_digits(document), CLAIM_SCHEMA)
+    """The typed claim; an element of the lines that is no object is a line without values."""
+    none = F.from_json(F.lit("{}"), LINE_SCHEMA)
+    line = lambda text: F.coalesce(F.from_json(text, LINE_SCHEMA), none)
+    # The one-element array binds the parsed claim, which is then parsed once.
+    typed = F.transform(
+        F.array(F.from_json(keep_digits(document), _CLAIM_OF_TEXTS)),
+        lambda claim: claim.withField("serviceLines", F.transform(claim["serviceLines"], line)),
+    )
+    return typed[0]
 
 
 def parse_claim_key(document: Column) -> Column:

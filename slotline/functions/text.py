@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 TRUE_WORDS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
 FALSE_WORDS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
 
+# Digits before the point that a number may have.
+MOST_EXPONENT = 130_000
+
 
 def left_pad(text: Column, width: int, fill: str) -> Column:
     return F.lpad(text, width, fill)
@@ -42,7 +45,8 @@ def number_text(text: Column) -> Column:
     """Text of an unscaled number: its digits stay, only the spelling is tidied.
 
     ``+5`` becomes ``5``, ``007.10`` becomes ``7.10``, ``.5`` becomes ``0.5`` and
-    ``1.5e3`` becomes ``1500``.  Text that is no number gives NULL.
+    ``1.5e3`` becomes ``1500``.  ``NaN`` is a number.  Text that is no number, or has an
+    exponent beyond ``MOST_EXPONENT``, gives NULL.
     """
     plain = r"^(?!-[0.]+$)-?(0|[1-9][0-9]*)(\.[0-9]+)?$"
     loose = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)$"
@@ -53,16 +57,21 @@ def number_text(text: Column) -> Column:
     unsigned = F.concat(whole, fraction)
     negative = word.startswith("-") & unsigned.rlike("[1-9]")
     tidied = F.when(negative, F.concat(F.lit("-"), unsigned)).otherwise(unsigned)
-    # An exponent moves the point: keep as many decimals as remain after it.
+    # An exponent moves the point over the digits as they are written.
     exponent = F.regexp_extract(word, r"[eE]([+-]?[0-9]+)$", 1).try_cast("int")
-    decimals = F.length(F.regexp_extract(word, r"\.([0-9]*)[eE]", 1))
-    scale = F.greatest(F.lit(0), decimals - exponent)
-    long_form = word.try_cast("decimal(38,18)").cast("string")
-    cut = F.length(long_form) - 18 + scale - F.when(scale == 0, 1).otherwise(0)
-    shifted = F.when(scale <= 18, F.substring(long_form, F.lit(1), cut))
+    before, after = F.regexp_extract(word, r"^[+-]?([0-9]*)", 1), F.regexp_extract(word, r"\.([0-9]*)", 1)
+    digits, point = F.concat(before, after), F.length(before) + exponent
+    moved = F.concat(F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0))), digits, F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
+    at = F.greatest(point, F.lit(1))
+    head = F.regexp_replace(F.substring(moved, F.lit(1), at), "^0+(?=[0-9])", "")
+    tail = F.substring(moved, at + 1, F.length(moved))
+    magnitude = F.when(tail == "", head).otherwise(F.concat(head, F.lit("."), tail))
+    minus = word.startswith("-") & digits.rlike("[1-9]")
+    shifted = F.when(F.abs(exponent) <= MOST_EXPONENT, F.when(minus, F.concat(F.lit("-"), magnitude)).otherwise(magnitude))
     return (
         F.when(text.rlike(plain), text)
         .when(word.rlike(loose), tidied)
+        .when(F.lower(word) == "nan", "NaN")
         .when(word.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)[eE][+-]?[0-9]+$"), shifted)
     )
 

@@ -61,7 +61,7 @@ def read_whole(spark: SparkSession, path: str) -> DataFrame:
 
     Reads each part as one text, so it is for parts that fit a row.
     """
-    texts = spark.read.option("wholetext", True).schema("value string, file_name string").text(path)
+    texts = spark.read.schema("value string, file_name string").text(path, wholetext=True)
     texts = texts.withColumn("part", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int"))
     lines = F.split(F.regexp_replace("value", r"\n\z", ""), "\n", -1)
     return texts.select("file_name", "part", F.posexplode(lines).alias("line", "value"))

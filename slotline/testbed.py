@@ -145,6 +145,15 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(id_.alias("id"), F.to_json(document).alias("claim_jsonb"))
 
 
+def damaged_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims, some of them damaged: by the remainder of the id by 50 cut off (7), no object (9),
+    or with an element among the lines that is no object (8)."""
+    kind, document = F.col("id") % 50, F.col("claim_jsonb")
+    odd = F.regexp_replace(document, r'"serviceLines":\[', '"serviceLines":["odd",')
+    damaged = F.when(kind == 7, F.expr("left(claim_jsonb, length(claim_jsonb) - 5)")).when(kind == 8, odd).when(kind == 9, "[1]")
+    return claims(spark, sf_dir).select("id", damaged.otherwise(document).alias("claim_jsonb"))
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(claim_id, created_at, payment_response_json)``"""
     event, user, kind = F.col("event_id"), F.col("user_id"), F.col("event_type")

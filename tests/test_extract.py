@@ -203,6 +203,22 @@ def test_written_files_hold_their_records_in_order(run, spark, tmp_path):
     assert read_files(spark, path).count() == sum(map(len, want.values()))
 
 
+def test_an_odd_element_loses_no_line(run, make_claims):
+    documents = {1: claim(serviceLines=[line(2, billedAmount=7.50), "oops", 5, None, line(1)], diagnosisCodes=[250.00, "M1", 1.50])}
+    documents[1] = __import__("json").dumps(documents[1]).replace("250.0,", "250.00,").replace("1.5]", "1.50]")
+    extract = run(documents)
+    assert at(text(extract, "CLAIM_HEADER"), 24, 25) == "05" and text(extract, "FILE_TRAILER")[-9:] == "000000005"
+    assert [r["line_sequence"] for r in records(extract) if r["record_type"] == "CLAIM_LINE"] == [1, 2, 3, 4, 5]
+    assert at(text(extract, "CLAIM_HEADER"), 119, 134) == "9250.00 9250.00 "
+    rejects = record_checks.document_rejects(make_claims({**documents, 2: "{", 3: "[1]", 4: {"serviceLines": 5}, 5: claim()}))
+    assert sorted((r.id, r.place, r.reason) for r in rejects.collect() if r.place is not None) == [
+        (1, 1, "line is no object"), (1, 2, "line is no object"), (1, 3, "line is no object"),
+    ]
+    assert {(r.id, r.reason) for r in rejects.collect() if r.place is None} == {
+        (2, "unreadable"), (3, "not an object"), (4, "lines are no array"),
+    }
+
+
 def test_findings(make_claims, make_payments):
     claims = make_claims({1: claim(serviceLines={"a": 1}, isParticipatingProvider="maybe"), 2: claim(serviceLines=[line("3.0"), line(1)])})
     got = {row.finding: row.occurrences for row in record_checks.claim_findings(claims).collect()}

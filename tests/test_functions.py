@@ -42,7 +42,7 @@ def test_dates_are_replaced_as_text(spark):
     "word, expected",
     [
         ("100.50", "100.50"), ("007.10", "7.10"), ("+5", "5"), (".5", "0.5"), ("5.", "5"), ("-0", "0"), ("-0.00", "0.00"),
-        ("1234567890123456789012", "1234567890123456789012"), ("1.5e3", "1500"), ("1.5E-3", "0.0015"), ("1.50e0", "1.50"),
+        ("1234567890123456789012", "1234567890123456789012"), ("1.5e3", "1500"), ("1e25", "1" + "0" * 25), ("1.5E-20", "0." + "0" * 19 + "15"), ("NaN", "NaN"), ("-0e5", "0"), ("-12.5e1", "-125"), ("00.5e1", "5"), ("1.50e1", "15.0"), ("1e999999", None), ("1.5E-3", "0.0015"), ("1.50e0", "1.50"),
         ("abc", None), ("", None), ("1,5", None), (" 12 ", "12"),
     ],
 )
