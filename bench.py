@@ -75,6 +75,11 @@ def run(folder: Path) -> dict:
     timed("final_extract", lambda: digest(extract(staged).all_records()))
     timed("final_extract_sorted", lambda: drain(extract(staged).final()))
     timed("final_extract_json", lambda: drain(extract(raw).final()))
+    # A daily run: one day out of the whole history.
+    day = days.orderBy("extract_date").limit(1).collect()[0]["extract_date"]
+    one_day = days.where(F.col("extract_date") == F.lit(day))
+    timed("one_day", lambda: drain(Extract(staged, paid, one_day).final()))
+    timed("one_day_json", lambda: drain(Extract(raw, paid, one_day).final()))
     timed("write_files", lambda: extract(staged).write(at("extracts")))
     timed("trailer_reconcile", lambda: drain(record_checks.trailer_reconcile(extract(staged).all_records())))
     timed("split_extract", lambda: split_result(read_result_table(spark, at("result")), at("split")))

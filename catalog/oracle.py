@@ -562,6 +562,28 @@ SELECT spans.record_type, fields, coalesce(errors, 0) AS errors, coalesce(warnin
        last_position, total_length, last_position - first_position + 1 AS expected_length,
        total_length - (last_position - first_position + 1) AS length_difference, coalesce(errors, 0) = 0 AS passed
 FROM spans LEFT JOIN found ON found.record_type = spans.record_type""",
+    # The older records differ at 172-178 (two characters of status) and 1389-1391 (nine zeros).
+    "adhoc_claim_header": f"""{_BASE},
+every AS (
+    SELECT * EXCLUDE (claim_sequence), CASE WHEN has_provider THEN left(kind, 1) END AS status FROM (
+        SELECT claim.*, pay.* EXCLUDE (claim_id), n.phase, 0 AS claim_sequence
+        FROM numbered n JOIN claim ON claim.id = n.id LEFT JOIN pay ON pay.claim_id = claim.id)
+), phases AS (SELECT DISTINCT extract_date AS on_date, mac_id AS of_mac, phase AS file_phase FROM numbered),
+text AS (
+    SELECT extract_date, mac_id, phase, {_HEADER_TEXT} AS whole, rpad(coalesce(status, ''), 2, ' ') AS status
+    FROM every JOIN phases ON on_date = extract_date AND of_mac = mac_id
+), old AS (SELECT *, left(whole, 171) || status || substr(whole, 179) AS record_content FROM text)
+SELECT {_FILE}, count(*) AS records, CAST(min(length(record_content)) AS INT) AS shortest,
+       CAST(max(length(record_content)) AS INT) AS longest, {_CHECKSUM.format("record_content")} AS checksum
+FROM old GROUP BY ALL""",
+    "adhoc_claim_line": _sections()
+    + f""", old AS (
+    SELECT extract_date, mac_id, phase, left(record_content, 1388) || '000000000' || substr(record_content, 1392) AS record_content
+    FROM records WHERE record_type = 'CLAIM_LINE')
+SELECT {_FILE}, count(*) AS records, CAST(min(length(record_content)) AS INT) AS shortest,
+       CAST(max(length(record_content)) AS INT) AS longest, {_CHECKSUM.format("record_content")} AS checksum,
+       CAST(max(length(record_content) - length(left(record_content, 2332))) AS INT) AS lost
+FROM old GROUP BY ALL""",
     "adhoc_header_fanout": _BASE
     + f""", answers AS (SELECT claim_id, count(*) AS n FROM pay GROUP BY claim_id),
 phases AS (SELECT extract_date AS d, mac_id AS m, count(DISTINCT phase) AS n FROM phased GROUP BY ALL)

@@ -596,3 +596,27 @@ def adhoc_header_fanout(spark, sf_dir):
 @query
 def adhoc_width_drift(spark, sf_dir):
     return layout_checks.width_drift(layout_checks.dedupe(testbed.layout_fields(spark, sf_dir)))
+
+
+def _older(rows):
+    return rows.groupBy("extract_date", "mac_id", "phase").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.min(F.length("record_content")).alias("shortest"),
+        F.max(F.length("record_content")).alias("longest"),
+        F.sum(checksum(F.col("record_content"))).alias("checksum"),
+    )
+
+
+@query
+def adhoc_claim_header(spark, sf_dir):
+    run = extract(spark, sf_dir)
+    return _older(adhoc.older_headers(run.numbered, parsed(spark, sf_dir), testbed.payments(spark, sf_dir)))
+
+
+@query
+def adhoc_claim_line(spark, sf_dir):
+    """The older lines, and how many characters the splitter takes off each."""
+    older = extract(spark, sf_dir).all_records("CLAIM_LINE").withColumn("record_content", adhoc.older_line(F.col("record_content")))
+    cut = clip_records(older.withColumn("whole", F.length("record_content")))
+    lost = cut.groupBy("extract_date", "mac_id", "phase").agg(F.max(F.col("whole") - F.length("record_content")).alias("lost"))
+    return _older(older).join(lost, ["extract_date", "mac_id", "phase"])

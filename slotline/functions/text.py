@@ -37,6 +37,12 @@ def yes_no(condition: Column, yes: str, no: str) -> Column:
     return F.when(condition, F.lit(yes)).otherwise(F.lit(no))
 
 
+def required(value: Column, text: Column, what: str) -> Column:
+    """``value``, or an error where there is a text but no value could be read from it."""
+    unread = text.isNotNull() & value.isNull()
+    return F.when(unread, F.raise_error(F.concat(F.lit(f"no {what}: "), text.cast("string")))).otherwise(value)
+
+
 def whole_number(text: Column) -> Column:
     return text.try_cast("int")
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotline.functions.json_text import LINE_SCHEMA
-from slotline.functions.text import whole_number
+from slotline.functions.text import required, whole_number
 
 # The place of each record kind within a file.
 SECTION_RANK = {"FILE_HEADER": 0, "CLAIM_HEADER": 1, "CLAIM_LINE": 1, "FILE_TRAILER": 2}
@@ -16,17 +16,23 @@ HEADER_SEQUENCE = 1
 TRAILER_SEQUENCE = 999999
 
 
-def numbered_lines(lines: Column) -> Column:
+def numbered_lines(lines: Column, strict: bool = False) -> Column:
     """Array of ``(line_sequence, line)``, by line number, then array position.
 
     The lines of a claim arrive together in its document, so ordering the array
-    replaces a shuffle and sort of all service lines.  Missing numbers come last.
+    replaces a shuffle and sort of all service lines.  Missing numbers come last; with
+    ``strict`` a number that cannot be read is an error.
     """
+
+    def number(line: Column) -> Column:
+        text = line["serviceLineNumber"]
+        return required(whole_number(text), text, "line number") if strict else whole_number(text)
+
     keyed = F.transform(
         lines,
         lambda line, at: F.struct(
-            whole_number(line["serviceLineNumber"]).isNull().alias("unnumbered"),
-            whole_number(line["serviceLineNumber"]).alias("number"),
+            number(line).isNull().alias("unnumbered"),
+            number(line).alias("number"),
             at.alias("at"),
             line.alias("line"),
         ),

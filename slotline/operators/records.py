@@ -15,6 +15,7 @@ from slotline.functions.text import (
     date_text,
     flag,
     number_text,
+    required,
     type_by_length,
     type_by_letter,
     whole_number,
@@ -48,8 +49,9 @@ def _source(slot: Slot, computed: dict[str, Column]) -> Column:
     return F.col(slot.source)
 
 
-def _value(slot: Slot, computed: dict[str, Column]) -> Column:
+def _value(slot: Slot, computed: dict[str, Column], strict: bool) -> Column:
     raw = _source(slot, computed)
+    read = lambda value, what: required(value, raw, what) if strict else value
     if slot.default is None:
         return raw.cast("string")
     default = F.lit(slot.default)
@@ -59,19 +61,19 @@ def _value(slot: Slot, computed: dict[str, Column]) -> Column:
         case "spaced date":
             return date_text(F.coalesce(raw, default), " ")
         case "number":
-            return F.coalesce(number_text(raw), default)
+            return F.coalesce(read(number_text(raw), "number"), default)
         case "whole":
-            return F.coalesce(whole_number(raw).cast("string"), default)
+            return F.coalesce(read(whole_number(raw), "whole number").cast("string"), default)
         case "json":
             return F.coalesce(spaced_json(raw), default)
         case "yes":
-            return yes_no(flag(raw), "Y", slot.default)
+            return yes_no(read(flag(raw), "flag"), "Y", slot.default)
         case _:
             return F.coalesce(raw.cast("string"), default)
 
 
-def slot_values(layout: Layout, computed: dict[str, Column]) -> list[Column]:
-    return [_value(slot, computed) for slot in layout.slots]
+def slot_values(layout: Layout, computed: dict[str, Column], strict: bool = False) -> list[Column]:
+    return [_value(slot, computed, strict) for slot in layout.slots]
 
 
 def file_values(layout: Layout) -> list[Column]:
@@ -90,7 +92,7 @@ def file_values(layout: Layout) -> list[Column]:
     )
 
 
-def claim_values() -> list[Column]:
+def claim_values(strict: bool = False) -> list[Column]:
     diagnosis = F.get("claim.diagnosisCodes", F.lit(0))
     return slot_values(
         CLAIM_HEADER,
@@ -101,12 +103,16 @@ def claim_values() -> list[Column]:
             "type_by_letter": type_by_letter(diagnosis),
             "type_by_length": type_by_length(diagnosis),
         },
+        strict,
     )
 
 
-def line_values() -> list[Column]:
+def line_values(strict: bool = False) -> list[Column]:
     """The line's flag looks for a code on either, but its code is the claim's."""
     diagnosis = F.get("claim.diagnosisCodes", F.lit(0))
+    participation = flag(F.col("claim.isParticipatingProvider"))
+    if strict:
+        participation = required(participation, F.col("claim.isParticipatingProvider"), "flag")
     any_diagnosis = F.coalesce(diagnosis, F.get("line.diagnosisCodes", F.lit(0)))
     return slot_values(
         CLAIM_LINE,
@@ -114,8 +120,9 @@ def line_values() -> list[Column]:
             "line_sequence": F.col("line_sequence"),
             "claim_diagnosis": diagnosis,
             "line_type_by_letter": type_by_letter(diagnosis, any_diagnosis),
-            "participation": yes_no(flag(F.col("claim.isParticipatingProvider")), "P", "N"),
+            "participation": yes_no(participation, "P", "N"),
         },
+        strict,
     )
 
 
@@ -153,7 +160,9 @@ def claim_rows(numbered: DataFrame, claims: DataFrame, payments: DataFrame) -> D
     return claims.select("id", document).join(numbered, "id").join(latest, "id", "left")
 
 
-def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = False) -> DataFrame:
+def records_of(
+    rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = False, strict_values: bool = False
+) -> DataFrame:
     """Each claim becomes its header and its lines; the first and the last claim
     of a file also bring the file's header and trailer.
 
@@ -162,7 +171,8 @@ def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = Fa
     order of ``rows``, and the records of one claim come in file order.
 
     The text is ``record_content``.  For records that still have to be sorted,
-    ``compact`` gives their unpadded values as ``slots`` instead.
+    ``compact`` gives their unpadded values as ``slots`` instead.  With
+    ``strict_values`` a number or flag that cannot be read is an error.
     """
     claim = F.col("claim") if "claim" in rows.columns else parse_claim(F.col("claim_jsonb"))
     rows = rows.withColumns({"claim": claim, "payment": parse_payment(F.col("payment_response_json"))})
@@ -175,7 +185,7 @@ def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = Fa
     )
     nothing = F.slice(single("CLAIM_LINE"), 1, 0)
     lines = F.transform(
-        numbered_lines(F.col("claim.serviceLines")),
+        numbered_lines(F.col("claim.serviceLines"), strict_values),
         lambda entry: F.struct(F.lit("CLAIM_LINE").alias("record_type"), entry["line_sequence"], entry["line"]),
     )
     parts = {
@@ -192,14 +202,14 @@ def records_of(rows: DataFrame, sections=tuple(SECTION_RANK), compact: bool = Fa
     kind, number = F.col("record_type"), F.col("claim_sequence")
     is_body = kind.isin("CLAIM_HEADER", "CLAIM_LINE")
     values = {
-        "FILE_HEADER": lambda: file_values(FILE_HEADER),
+        "FILE_HEADER": lambda strict: file_values(FILE_HEADER),
         "CLAIM_HEADER": claim_values,
         "CLAIM_LINE": line_values,
-        "FILE_TRAILER": lambda: file_values(FILE_TRAILER),
+        "FILE_TRAILER": lambda strict: file_values(FILE_TRAILER),
     }
 
     def content(layout: Layout) -> Column:
-        columns = values[layout.record_type]()
+        columns = values[layout.record_type](strict_values)
         return F.array(*columns) if compact else layout.render(columns.__getitem__)
 
     contents = {layout.record_type: content(layout) for layout in LAYOUTS if layout.record_type in sections}

@@ -26,7 +26,8 @@ class Extract:
     ``claims``, ``payments`` and ``parameters`` are the three input relations.
     ``strict_sequence`` sorts records by ``record_sequence`` alone and
     ``strict_nulls`` leaves a trailer NULL where no claim of its file has lines;
-    both are off, which gives files that are whole and in order.
+    with ``strict_values`` the first number or flag that cannot be read ends the run.
+    All are off, which gives files that are whole and in order.
     """
 
     claims: DataFrame
@@ -34,6 +35,7 @@ class Extract:
     parameters: DataFrame
     strict_sequence: bool = False
     strict_nulls: bool = False
+    strict_values: bool = False
 
     @cached_property
     def selected(self) -> DataFrame:
@@ -75,7 +77,7 @@ class Extract:
 
     def all_records(self, *sections: str) -> DataFrame:
         """Unordered records with their text; all sections when none is named."""
-        return records.records_of(self.claim_rows(), sections or tuple(SECTION_RANK))
+        return records.records_of(self.claim_rows(), sections or tuple(SECTION_RANK), strict_values=self.strict_values)
 
     def final(self) -> DataFrame:
         """The ordered result relation.
@@ -85,11 +87,13 @@ class Extract:
         trailers between claims, has to sort the records themselves.
         """
         if self.strict_sequence:
-            unordered = records.records_of(self.claim_rows(), compact=True)
+            unordered = records.records_of(self.claim_rows(), compact=True, strict_values=self.strict_values)
             ordered = unordered.orderBy("file_name", *records.record_order(strict_sequence=True))
             ordered = ordered.withColumn("record_content", records.text_of_slots())
         else:
-            ordered = records.records_of(self.claim_rows().orderBy("file_name", "claim_sequence"))
+            ordered = records.records_of(
+                self.claim_rows().orderBy("file_name", "claim_sequence"), strict_values=self.strict_values
+            )
         return ordered.select(*records.RECORD_COLUMNS, "record_content")
 
     def write(self, path: str, records_per_part: int = 50_000) -> None:
@@ -103,7 +107,7 @@ class Extract:
         held = F.col("total_claim_headers") + F.coalesce("total_claim_lines", F.lit(0))
         parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(held / records_per_part)))
         placed = in_task_order(rows, records.named(self.mac_totals(), self.parameters).select("file_name", parts.alias("part")))
-        compact = records.records_of(placed, compact=True)
+        compact = records.records_of(placed, compact=True, strict_values=self.strict_values)
         write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
 
     @cached_property

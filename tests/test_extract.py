@@ -219,6 +219,24 @@ def test_an_odd_element_loses_no_line(run, make_claims):
     }
 
 
+@pytest.mark.parametrize("document, paid", [
+    (claim(serviceLines=[line("3.0")]), {}),
+    (claim(isParticipatingProvider="maybe", serviceLines=[line(1)]), {}),
+    (claim(), {"beneCheck": {"claimAmount": "n/a"}}),
+    (claim(), {"interestDaysOver": "3.5"}),
+    (claim(), {"providerCheck": {"couldNotBeForwarded": "perhaps"}}),
+])
+def test_strict_values_end_the_run(run, document, paid):
+    assert records(run({1: document}, (1, None, paid)))
+    with pytest.raises(Exception, match="no (line |whole )?(number|flag): "):
+        records(run({1: document}, (1, None, paid), strict_values=True))
+
+
+def test_strict_values_let_good_ones_pass(run):
+    good = claim(serviceLines=[line(1, billedAmount="1e2"), line(None)], isParticipatingProvider="on", totalBilledAmount=7)
+    assert records(run({1: good}, strict_values=True)) == records(run({1: good}))
+
+
 def test_findings(make_claims, make_payments):
     claims = make_claims({1: claim(serviceLines={"a": 1}, isParticipatingProvider="maybe"), 2: claim(serviceLines=[line("3.0"), line(1)])})
     got = {row.finding: row.occurrences for row in record_checks.claim_findings(claims).collect()}
