@@ -279,7 +279,10 @@ final AS (
 
 _DAY = "extract_date::VARCHAR AS extract_date"
 _FILE = f"{_DAY}, mac_id, phase"
-_CHECKSUM = "CAST(sum(('0x' || left(md5({}), 8))::BIGINT) AS BIGINT)"
+_CHECKSUM = (
+    "CAST(sum(('0x' || substr(md5({0}), 1, 8))::BIGINT + ('0x' || substr(md5({0}), 9, 8))::BIGINT * 3"
+    " + ('0x' || substr(md5({0}), 17, 8))::BIGINT * 5 + ('0x' || substr(md5({0}), 25, 8))::BIGINT * 7) AS BIGINT)"
+)
 
 _FIELDS = """
 WITH copies AS (
@@ -539,10 +542,19 @@ ORACLE: dict[str, str] = {
                 CASE record_type WHEN 'FILE_HEADER' THEN 41 WHEN 'CLAIM_HEADER' THEN 5651
                                  WHEN 'CLAIM_LINE' THEN 2332 ELSE 44 END AS width_limit, true AS fits
          FROM records GROUP BY record_type""",
-    "trailer_reconcile": _BASE
-    + """SELECT file_name, headers + coalesce(lines, 0) + 2 AS records, headers AS claim_headers,
-                coalesce(lines, 0) AS claim_lines, headers + coalesce(lines, 0) + 2 AS printed_records,
-                headers AS printed_headers, coalesce(lines, 0) AS printed_lines, true AS agrees FROM names""",
+    "trailer_reconcile": _sections()
+    + """, counted AS (
+    SELECT file_name, count(*) AS records, count(*) FILTER (record_type = 'CLAIM_HEADER') AS claim_headers,
+           count(*) FILTER (record_type = 'CLAIM_LINE') AS claim_lines,
+           max(CASE WHEN record_type = 'FILE_TRAILER' THEN record_content END) AS trailer
+    FROM final GROUP BY file_name
+), printed AS (
+    SELECT * EXCLUDE (trailer), substr(trailer, 18, 9)::BIGINT AS printed_records,
+           substr(trailer, 27, 9)::BIGINT AS printed_headers, substr(trailer, 36, 9)::BIGINT AS printed_lines
+    FROM counted
+)
+SELECT *, records = printed_records AND claim_headers = printed_headers AND claim_lines = printed_lines AS agrees
+FROM printed""",
     "document_findings": _FINDINGS,
     "layout_dedupe": _FIELDS + "SELECT * FROM fields",
     "layout_length": _FIELDS + "SELECT * FROM lengths",
