@@ -53,14 +53,14 @@ CLAIM_SCHEMA = (
     .add("serviceLines", T.ArrayType(LINE_SCHEMA))
 )
 
-# What selecting and counting claims needs; any element of the array counts as a line.
-CLAIM_KEY_SCHEMA = _texts(["macId", "receiptDate"]).add("serviceLines", T.ArrayType(T.StringType()))
-
-# The claim with its lines as text, so that each is parsed by itself.
-_CLAIM_OF_TEXTS = T.StructType(
-    [x if x.name != "serviceLines" else T.StructField(x.name, T.ArrayType(T.StringType())) for x in CLAIM_SCHEMA]
+# What selecting and counting claims needs; one key is enough to count lines.
+CLAIM_KEY_SCHEMA = _texts(["macId", "receiptDate"]).add(
+    "serviceLines", T.ArrayType(_texts(["serviceLineNumber"]))
 )
 
+# The lines as text, so that each is parsed by itself.
+_LINE_TEXTS = T.StructType().add("serviceLines", T.ArrayType(T.StringType()))
+
 PAYMENT_SCHEMA = (
     _texts(["interestRate", "interestDaysOver"])
     .add("beneCheck", _texts(BENE_CHECK_KEYS))
@@ -89,15 +89,27 @@ def keep_digits(document: Column) -> Column:
 
 
 def parse_claim(document: Column) -> Column:
-    """The typed claim; an element of the lines that is no object is a line without values."""
+    """The typed claim; an element of the lines that is no object is a line without values.
+
+    Such an element leaves the whole array NULL; only then the elements are parsed one by one.
+    """
+    digits = keep_digits(document)
     none = F.from_json(F.lit("{}"), LINE_SCHEMA)
     line = lambda text: F.coalesce(F.from_json(text, LINE_SCHEMA), none)
+
+    def whole(claim: Column) -> Column:
+        lost = claim["serviceLines"].isNull() & document.contains('"serviceLines"')
+        one_by_one = F.transform(F.from_json(digits, _LINE_TEXTS)["serviceLines"], line)
+        return F.when(lost, claim.withField("serviceLines", one_by_one)).otherwise(claim)
+
     # The one-element array binds the parsed claim, which is then parsed once.
-    typed = F.transform(
-        F.array(F.from_json(keep_digits(document), _CLAIM_OF_TEXTS)),
-        lambda claim: claim.withField("serviceLines", F.transform(claim["serviceLines"], line)),
-    )
-    return typed[0]
+    return F.transform(F.array(F.from_json(digits, CLAIM_SCHEMA)), whole)[0]
+
+
+def line_count(lines: Column, document: Column) -> Column:
+    """Elements of the lines as parsed, or where an odd one left them NULL, as written."""
+    written = F.json_array_length(F.get_json_object(document, "$.serviceLines"))
+    return F.coalesce(F.size(lines), written).cast("bigint")
 
 
 def parse_claim_key(document: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,9 @@ class Extract:
 
     @cached_property
     def selected(self) -> DataFrame:
-        return selection.claims_on_date(claim_keys(self._claims_of_days), self.parameters)
+        keys = selection.claims_on_date(claim_keys(self._claims_of_days), self.parameters)
+        # Several steps start from these narrow rows; of documents given as text each would parse all again.
+        return keys if is_staged(self.claims) else keys.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def phased(self) -> DataFrame:

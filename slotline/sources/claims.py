@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotline.functions.json_text import CLAIM_SCHEMA, parse_claim, parse_claim_key
+from slotline.functions.json_text import CLAIM_SCHEMA, line_count, parse_claim, parse_claim_key
 
 CLAIM_TABLE = "id bigint, claim_jsonb string"
 PAYMENT_TABLE = "claim_id bigint, created_at timestamp, payment_response_json string"
@@ -71,11 +71,11 @@ def claim_keys(claims: DataFrame) -> DataFrame:
     """
     if is_staged(claims):
         return claims.select("id", "mac_id", "receipt_date", "line_count")
-    return claims.select("id", F.inline(F.array(parse_claim_key(F.col("claim_jsonb"))))).select(
+    return claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb"))))).select(
         "id",
         F.col("macId").alias("mac_id"),
         F.col("receiptDate").alias("receipt_date"),
-        F.size("serviceLines").cast("bigint").alias("line_count"),
+        line_count(F.col("serviceLines"), F.col("claim_jsonb")).alias("line_count"),
     )
 
 
