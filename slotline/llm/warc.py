@@ -5,11 +5,11 @@ Writing: each page becomes a record, a gzip member of its own. Of pages with equ
 that refer to it and carry no payload. Which they are is settled over narrow rows (id, digest), so
 that copies never meet in one task with their payloads. A task writes files of up to ``FILE_BYTES`` under
 names of its own and returns them as rows; only files of successful tasks are listed, so that a repeated
-task leaves nothing in the archive.
+task leaves nothing in the archive. The number of records read from a file must be the number written to it.
 
 Reading: a file is dealt out in byte ranges. A task looks for the gzip magic from its range's
 start, inflates the front of each candidate and takes it for a member if it begins with a WARC header that
-can be decoded; from there members follow one another. It owns the records that start in its range,
+can be decoded; from there members must follow one another to the file's end. It owns the records that start in its range,
 and reads on over the range's end to finish the last.
 
 A null html is an empty payload. Rows that repeat a page_id with an equal payload are all responses if
@@ -36,7 +36,9 @@ LEAST_BYTES = 100
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
 READ_BYTES = 1 << 20
+FRONT_BYTES = 1 << 16
 MAGIC = b"\x1f\x8b\x08"
+WARC = b"WARC/1."
 _PAGE_URI = "urn:page:"
 FILES = "path string, bytes long, records long"
 RECORDS = (
@@ -169,15 +171,22 @@ class Members:
         return None
 
     def begins(self, place: int) -> bool:
-        """Whether the bytes there inflate to a WARC record's header."""
-        front = self.at(place, 1 << 16)
-        if not front.startswith(MAGIC):
-            return False
-        try:
-            text = zlib.decompressobj(31).decompress(front, 1 << 13)
-        except zlib.error:
-            return False
-        return text.startswith(b"WARC/1.") and b"\r\nContent-Length:" in text and b"WARC-Type:" in text
+        """Whether the bytes there inflate to a WARC record's header, of whatever length."""
+        unpack, text, fed = zlib.decompressobj(31), b"", 0
+        while b"\r\n\r\n" not in text:
+            # What was read stays held from the place on, as the member is read from there.
+            piece = unpack.unconsumed_tail or self.at(place, fed + FRONT_BYTES)[fed:]
+            if unpack.eof or not piece or not (fed or piece.startswith(MAGIC)):
+                return False
+            fed += 0 if unpack.unconsumed_tail else len(piece)
+            try:
+                text += unpack.decompress(piece, max(1 << 13, len(text)))
+            except zlib.error:
+                return False
+            if not text.startswith(WARC) and not WARC.startswith(text):
+                return False
+        head = text[: text.index(b"\r\n\r\n") + 2]
+        return text.startswith(WARC) and b"\r\nContent-Length:" in head and b"\r\nWARC-Type:" in head
 
     def member(self, place: int) -> tuple[bytes, int]:
         """The member's content and where it ends; checked against its CRC."""
@@ -223,11 +232,15 @@ def records_in(path: str, start: int, stop: int, size: int) -> Iterator[dict]:
     with store.open_input_file(name) as stream:
         members = Members(stream, size, start)
         place = members.candidate(start, stop)
+        if start == 0 and place != 0:
+            raise ValueError(f"{path} doesn't begin with a record")
         while place is not None and place < stop:
             content, end = members.member(place)
             yield record(content) | {"member_start": place, "path": path}
-            # The next member follows; what isn't one is searched for the next that is.
-            place = end if end < stop and members.begins(end) else members.candidate(end, stop)
+            # The next member follows, in this range or a later one: no record is passed over.
+            if end < size and not members.begins(end):
+                raise ValueError(f"what follows the record at {place} of {path} is no record")
+            place = end
 
 
 def read(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES, payloads: bool = True) -> DataFrame:
@@ -262,7 +275,17 @@ def read(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES,
     return dealt.mapInPandas(unpack, RECORDS)
 
 
+def counted(found: DataFrame, files: DataFrame) -> DataFrame:
+    """The records read, if they are as many from each listed file (path, records) as were written to it."""
+    held = found.groupBy("path").agg(F.count(F.lit(1)).alias("held"))
+    wrong = files.join(held, "path", "left").filter(F.coalesce("held", F.lit(0)) != F.col("records"))
+    for row in wrong.limit(1).collect():
+        raise ValueError(f"{row['held'] or 0} records were read from {row['path']}, {row['records']} written")
+    return found
+
+
 def round_trip(pages: DataFrame) -> DataFrame:
     """Archive the pages in the shared folder, and read the archives back."""
     spark = pages.sparkSession
-    return read(spark, write(with_kinds(pages), new_path(spark, "warc")), payloads=False)
+    files = write(with_kinds(pages), new_path(spark, "warc"))
+    return counted(staged(read(spark, files, payloads=False), "warc-records"), files)

@@ -77,3 +77,26 @@ def test_a_magic_inside_a_payload_starts_no_member(spark, tmp_path):
 
 def test_no_pages(spark):
     assert warc.round_trip(spark.createDataFrame([], PAGES)).count() == 0
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 23, 5000])
+def test_long_urls_are_read(spark, range_bytes):
+    """Headers longer than what is inflated at once, well and badly compressed."""
+    noise = "".join(hashlib.sha256(b"%d" % i).hexdigest() for i in range(2000))
+    urls = ["http://a/", "http://b/?q=" + "x" * 20_000, "http://c/?q=" + noise[:20_000], "http://d/?q=" + noise, "http://e/"]
+    rows = [(i, url, html(i, 300)) for i, url in enumerate(urls)]
+    found = warc.read(spark, written(spark, rows), range_bytes).collect()
+    assert {(r["page_id"], r["url"]) for r in found} == set(enumerate(urls)) and len(found) == len(urls)
+
+
+def test_records_that_are_missing_end_the_run(spark, pages):
+    files = written(spark, pages)
+    found = warc.read(spark, files, payloads=False)
+    assert warc.counted(found, files).count() == len(pages)
+    with pytest.raises(ValueError, match="written"):
+        warc.counted(found.filter("page_id <> 5"), files)
+    path = files.first()["path"].removeprefix("file:")
+    with open(path, "ab") as file:
+        file.write(b"no record")
+    with pytest.raises(ValueError, match="is no record"):
+        list(warc.records_in(path, 0, (size := __import__("os").path.getsize(path)), size))
