@@ -5,9 +5,10 @@ Rules are pruned by support and confidence, and those that say no more than a sh
 dropped. An inverted index from tokens to rules finds the rules of each URL: a rule fits if as
 many of its tokens were found as it has. Given host and path rules go first.
 
-Built-in functions and the library's FP-growth only. A token in a rule is in at least
-``min_support`` of the labelled URLs, of which each has at most ``MOST_TOKENS`` tokens; so the number of
-tokens in rules is bounded by their quotient, whatever the corpus.
+Built-in functions and the library's FP-growth only. All tokens of a URL count. A token in a rule is in at
+least ``min_support`` of the labelled URLs; rarer ones are dropped before mining, which bounds the number of tokens
+in rules by the tokens of a URL over ``min_support``, whatever the corpus. Tokens that are in exactly the same labelled
+URLs are mined as one and written out again in the rules: a rule with two of them says no more than one with one.
 
 A null URL, or one without ``://``, has an empty host and path and no tokens: the default verdict.
 Rows with equal ``page_id`` are judged each by its own URL; repeated rows give repeated results.
@@ -18,6 +19,8 @@ with more tokens, more support, and ``block``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +30,8 @@ from slotline.llm.common import staged
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.9
-MOST_TOKENS = 12
 LONGEST_RULE = 3
+COPIES = 1000
 DEFAULT = "allow"
 
 #: The given rules: what they are written as and their verdict.
@@ -75,9 +78,38 @@ def tokens() -> Column:
         by_place, words, prefixed("p:", segments), F.when(ending != "", F.array(F.concat(F.lit("x:"), ending))).otherwise(F.array()),
         prefixed("q:", names),
     )
-    return F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(
-        F.slice(F.array_distinct(every), 1, MOST_TOKENS)
-    )
+    return F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.array_distinct(every))
+
+
+def _alike(lists: DataFrame, min_support: float) -> DataFrame:
+    """token and ``standing``, of the tokens with enough support: the first of those in the same rows.
+
+    Rows are summed up by two hashes of what they hold, since equal rows have equal tokens.
+    """
+    least = math.ceil(min_support * lists.agg(F.sum("times")).first()[0])
+    rows = lists.select("*", F.xxhash64("tokens", "verdict").alias("one"), F.xxhash64("verdict", "tokens", F.lit(1)).alias("two"))
+    sums = rows.select(F.explode("tokens").alias("token"), "times", "one", "two").groupBy("token").agg(
+        F.sum("times").alias("count"), *[F.sum(F.col(x).cast("decimal(20,0)")).alias(x) for x in ("one", "two")]
+    )
+    usual = sums.filter(F.col("count") >= least)
+    standing = usual.groupBy("count", "one", "two").agg(F.min("token").alias("standing"))
+    return usual.join(standing, ["count", "one", "two"]).select("token", "standing")
+
+
+def _items(lists: DataFrame, stood: DataFrame) -> DataFrame:
+    """A row of ``items`` for each labelled URL: the tokens that stand for its own, and its verdict."""
+    row = lists.select("*", F.xxhash64("tokens", "verdict").alias("row"))
+    held = (
+        row.select("row", F.explode("tokens").alias("token")).join(stood.filter("token = standing"), "token")
+        .groupBy("row").agg(F.collect_list("token").alias("held"))
+    )
+    items = F.concat(F.coalesce("held", F.array().cast("array<string>")), F.array(F.concat(F.lit("="), "verdict")))
+    # Copies of a common URL are dealt over tasks, some at a time.
+    some = row.join(held, "row", "left").select(
+        "row", "times", items.alias("items"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(COPIES).cast("long"))).alias("nth")
+    )
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("times") - F.col("nth"))))
+    return some.repartition(F.xxhash64("row", "nth")).select("items", each.alias("copy")).select("items")
 
 
 def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
@@ -87,7 +119,9 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     empty = "rule_id long, antecedent array<string>, verdict string, confidence double, support double"
     if labelled.isEmpty():
         return spark.createDataFrame([], empty)
-    items = labelled.select(F.concat(F.col("tokens"), F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
+    lists = staged(labelled.groupBy("tokens", "verdict").agg(F.count(F.lit(1)).alias("times")), "url-token-lists")
+    stood = staged(_alike(lists, min_support), "url-tokens")
+    items = _items(lists, stood)
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = staged(
         model.associationRules.filter(
@@ -115,7 +149,17 @@ def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
         .groupBy("long_id", "rule_id", "size").agg(F.count(F.lit(1)).alias("had"))
         .filter("had = size").select(F.col("long_id").alias("rule_id")).distinct()
     )
-    return staged(found.join(needless, "rule_id", "left_anti"), "url-rules")
+    kept = found.join(needless, "rule_id", "left_anti")
+    # Each token that stands for others gives way to each of them in turn.
+    for place in range(longest):
+        members = stood.select(F.col("standing").alias(f"standing_{place}"), F.col("token").alias(f"token_{place}"))
+        kept = kept.join(members, F.get("antecedent", F.lit(place)) == F.col(f"standing_{place}"), "left")
+    written = F.array_sort(F.array_compact(F.array(*[F.col(f"token_{place}") for place in range(longest)])))
+    rules = kept.select(
+        F.xxhash64(written, F.array(F.concat(F.lit("="), "verdict"))).alias("rule_id"), written.alias("antecedent"),
+        "verdict", "confidence", "support",
+    )
+    return staged(rules, "url-rules")
 
 
 def indexed(rules: DataFrame) -> DataFrame:

@@ -88,3 +88,22 @@ def test_no_pages_and_no_labels(make_pages):
 def test_plan_has_no_python(make_pages):
     plan = url_rules.judge(make_pages(*corpus()))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_tokens_of_long_urls_count(make_pages):
+    """Late path parts, endings and query names of deep hosts and long paths make rules and match them."""
+    deep, path = "a1.b2.c3.d4.e5.f6.g7.h8", "/".join(f"part{chr(97 + i)}" for i in range(24))
+    url = "http://{}.{}/{}/x/{}.{}?{}=1".format
+    rows = [(i, url(deep, "net", path, "bad", "php", "spam")) for i in range(30)]
+    rows += [(100 + i, url(deep, "example.net", "en/" + path, "good", "html", "page")) for i in range(30)]
+    rows += [(200, url("z", "com", path, "bad", "html", "other")), (201, url("z", "com", path, "fine", "cgi", "spam")),
+             (202, url("z", "com", path, "good", "gif", "other")), (203, url("z", "com", path, "fine", "php", "other"))]
+    tokens = url_rules.parts(make_pages(*rows)).select("page_id", url_rules.tokens().alias("tokens")).filter("page_id = 0").first()["tokens"]
+    assert len(tokens) > 30 and {"q:spam", "x:php", "p:bad.php"} <= set(tokens)
+    labelled = url_rules.parts(make_pages(*rows)).withColumns({"verdict": url_rules.given()[1], "tokens": url_rules.tokens()})
+    found = url_rules.mined(labelled.filter("verdict is not null").select("tokens", "verdict")).collect()
+    single = {(r["antecedent"][0], r["verdict"]) for r in found if len(r["antecedent"]) == 1}
+    assert {("q:spam", "block"), ("x:php", "block"), ("p:good.html", "allow"), ("q:page", "allow"), ("x:html", "allow")} <= single
+    assert len({r["rule_id"] for r in found}) == len(found)
+    judged = {r["page_id"]: r["mined"] for r in url_rules.judge(make_pages(*rows)).collect() if r["page_id"] >= 200}
+    assert judged == {200: "allow", 201: "block", 202: None, 203: "block"}
