@@ -4,7 +4,7 @@ The tokenizers library does the encoding. Both vocabularies cut a text at single
 before they merge anything, and a stop or comma off the word before it; so the ids of a text
 are those of its words one after the other. Each worker keeps the ids of words up to 24 bytes
 in a hash table of flat arrays, looks up all words of a batch at once, and has the library encode
-a word it doesn't have. Where white space runs together the pieces of a byte-level
+a word it doesn't have. Words that a batch brings beyond the table's room are encoded for that batch. Where white space runs together the pieces of a byte-level
 vocabulary depend on their neighbours, and such a text is encoded as it stands. Strings of special
 tokens in a text are ordinary text.
 """
@@ -19,7 +19,8 @@ import numpy as np
 
 from slotline.llm.textstats import mixed
 
-#: Slots of a worker's table. It starts anew when 5 of 8 are taken: a bound on memory, not on results.
+#: Slots of a worker's table. It starts anew when 5 of 8 are taken, and takes no words when 7 of 8 are, as a search
+#: ends at a free slot: a bound on memory, not on results.
 SLOTS = 1 << 21
 
 _RUNS = re.compile(r"\s\s")
@@ -157,13 +158,13 @@ class Encoder:
         missing = np.flatnonzero((slot < 0) & fits)
         if len(missing):
             first = self._once(lanes[:, missing], size[missing])
-            new = missing[first]
+            new = missing[first][: table.slots * 7 // 8 - table.words]
             table.add(lanes[:, new], size[new], self.whole([data[a:b] for a, b in zip(starts[new], ends[new])]))
             slot[missing] = table.find(lanes[:, missing], size[missing])
         at, count = table.at[slot].astype(np.int64), table.count[slot].astype(np.int64)
-        # Long words, and texts encoded as they stand, are put behind the pool for this batch only.
+        # Long words, words without room, and texts encoded as they stand, are put behind the pool for this batch only.
         kept = table.used
-        long = np.flatnonzero(~fits)
+        long = np.flatnonzero(slot < 0)
         at[long], count[long] = table.append(self.whole([data[a:b] for a, b in zip(starts[long], ends[long])]))
         apart = np.flatnonzero(alone)
         apart_at, apart_count = table.append(self.whole([raw[i] for i in apart]))

@@ -44,6 +44,31 @@ def test_a_full_word_table_starts_anew(prose):
         encoder.table = whole
 
 
+@pytest.mark.parametrize("kind, path", [("words", token_files.VOCABULARY), ("bytes", packing.VOCABULARY)])
+def test_a_batch_of_more_words_than_the_table_has_slots(kind, path):
+    import signal
+
+    from slotline.llm.token_ids import WordTable
+
+    def stop(*_):
+        raise TimeoutError("the search for a free slot doesn't end")
+
+    encode, encoder = library(path), Encoder.of(kind, path)
+    whole, encoder.table = encoder.table, WordTable(64)
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(30)
+    try:
+        for start in (0, 20, 500):
+            texts = [" ".join(f"id{start + i}" for i in range(300)), " ".join(f"id{start + i % 90}" for i in range(200)), "x" * 30]
+            values, bounds = encoder.ids(texts)
+            for at, text in enumerate(texts):
+                assert values[bounds[at] : bounds[at + 1]].tolist() == encode(text)
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+        encoder.table = whole
+
+
 @pytest.mark.parametrize("ids_encoding", ["dictionary", "delta"])
 def test_files_in_order_and_back(spark, make_documents, odd_rows, tmp_path, ids_encoding):
     path = str(tmp_path / "files")
