@@ -10,7 +10,8 @@ between its tokens are slots.
 
 From the template follow the element whose slots hold the article (``<article>``, ``<main>`` or what
 is named so; else the innermost one that holds nearly all text beside menus and the like), and the
-blocks that are the same on nearly all pages outside of it. A page's text is what its slots there hold, without
+blocks that are the same on nearly all pages outside of it. A page's text is what its slots there hold, and unless
+it is an ``<article>`` or ``<main>`` what the other slots of the page hold (the lowest element around all of them), without
 menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments.
 
 A host with too few pages for a template uses that of all pages together, and a page without the
@@ -270,21 +271,22 @@ def main_text(html: str | None, container: str | None, fixed: frozenset[str]) ->
         within = {x for x, e in enumerate(page.elements) if e.article and not e.aside}
     # Where nothing is named for the article, what all pages of the host say is the template's.
     named = any(page.elements[x].article for x in within)
+    # An <article> or <main> holds all there is of the article. Of any other element that isn't sure: text beside it
+    # is the article's too (a title, a lead), unless it is the template's.
+    whole = any(page.elements[x].name in ARTICLE or "role=main" in page.elements[x].token for x in within)
     kept = []
     for inside, aside, words in page.blocks:
-        if not named:
+        inner = [x for x in inside if x in within]
+        if not named or (not inner and not whole):
             role = page.elements[inside[-1]].path if inside else ""
             if f"{role}\t{words[:LONGEST_TOKEN]}\t{len(words)}" in fixed:
                 continue
-        if within:
-            if not within & {*inside}:
-                continue
-            first = max(x for x in inside if x in within)
-            beyond = [x for x in inside if x > first]
-            outer = [x for x in inside if x < first and page.elements[x].name not in ("html", "body")]
+        if inner:
+            beyond = [x for x in inside if x > inner[-1]]
+            outer = [x for x in inside if x < inner[-1] and page.elements[x].name not in ("html", "body")]
             if any(page.elements[x].aside for x in beyond) or any(page.elements[x].name in ASIDE for x in outer):
                 continue
-        elif aside:
+        elif whole or aside:
             continue
         kept.append(words)
     return "\n".join(kept)

@@ -41,6 +41,20 @@ def test_a_template_without_a_named_article(make_pages):
     assert texts(make_pages(*rows)) == expected
 
 
+#: The title and lead stand beside the element that holds nearly all text; with names for the article and without.
+LEAD = """<html><body><div class="menu">Home</div><div class="%s"><h1>Title %d</h1><p>Lead %d</p><div class="%s"><p>Text number %d
+is long enough to hold nearly all of it, %s.</p></div><p>Closing %d</p></div><p>Always the same words</p></body></html>"""
+
+
+@pytest.mark.parametrize("outer, inner", [("post", "entry-content"), ("a", "b"), ("a", "entry-content"), ("post", "b")])
+def test_title_and_lead_beside_the_text_are_kept(make_pages, outer, inner):
+    long = "with some more words " * 20 + "to end"
+    rows = [(i, f"http://lead.example/{i}", LEAD % (outer, i, i, inner, i, long, i)) for i in range(12)]
+    assert texts(make_pages(*rows)) == {
+        i: f"Title {i}\nLead {i}\nText number {i} is long enough to hold nearly all of it, {long}.\nClosing {i}" for i in range(12)
+    }
+
+
 def test_copies_of_a_page_keep_their_text(make_pages):
     rows = [(i, f"http://same.example/{i}", ARTICLE % (1, 1)) for i in range(20)]
     assert set(texts(make_pages(*rows)).values()) == {TEXT % (1, 1)}
