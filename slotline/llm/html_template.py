@@ -4,9 +4,10 @@ Pages of a host are made from a template. A token of a page is a tag in its role
 of elements around it, with their classes) or the text of a block in its role. Tokens of a host
 whose occurrence vectors (how often on which page) are equal form an equivalence class. Vectors are
 never gathered: each is summed up in one number, a sum over pages of a hash of page and count, and
-classes are found by grouping on host and number. Classes that occur once on nearly all of a
-host's pages and whose tokens nest within one another, in one order, are the template; what stands
-between its tokens are slots.
+classes are found by grouping on host and number. Tokens that occur once on nearly all of a host's
+pages, in a class of several or not on all pages, and blocks are the template; what stands between its
+tokens are slots. Whether the tokens of a class nest within one another, in one order, is not tested, and no nested
+template is built: the names of elements go first.
 
 From the template follow the element whose slots hold the article (``<article>``, ``<main>`` or what
 is named so; else the innermost one that holds nearly all text beside menus and the like), and the
