@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotline.llm import html_template, order_minhash, packing, phrase_index, quality_labels, quality_rules, token_files, toxicity, url_rules, warc
+from slotline.llm import conversation_repair, html_template, ngram_join, order_minhash, packing, phrase_index
+from slotline.llm import quality_labels, quality_rules, spelling_variants, sql, token_files, toxicity, url_rules, warc
 from slotline.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,18 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_quality_classifier": op2_quality_classifier,
@@ -71,6 +84,9 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_url_filters": op9_url_filters,
     "op10_order_minhash": op10_order_minhash,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 ORACLE: dict[str, str] = {
     "op5_warc": """
@@ -116,4 +132,7 @@ ORACLE: dict[str, str] = {
                n_hit IS NOT NULL AS contaminated
         FROM d LEFT JOIN h USING (doc) LEFT JOIN i USING (doc)
     """,
+    "op11_ngram_join": sql.NGRAM_JOIN,
+    "op12_conversation_repair": sql.CONVERSATION_REPAIR,
+    "op13_spelling_variants": sql.SPELLING_VARIANTS,
 }
