@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotline.llm.common import small_batches, staged
@@ -48,6 +48,8 @@ REPORTED = 1 << 16
 MOST_MATCHES = 16
 RUNS_PER_POSTING = 64
 ROUNDS = 2
+#: Sets that hold a run, from which on its postings needn't be searched for others.
+HOT = 64
 
 
 def run_set(text: str | None, width: int = WIDTH) -> np.ndarray:
@@ -122,8 +124,8 @@ def common_runs(documents: DataFrame, most: int = COMMON) -> tuple[np.ndarray, n
     return runs[order], held[order]
 
 
-def prefix(runs: np.ndarray, common: np.ndarray, held: np.ndarray) -> tuple[int, np.ndarray]:
-    """How many matches the set asks for, and its prefix for that, rarest runs first."""
+def prefix(runs: np.ndarray, common: np.ndarray, held: np.ndarray) -> tuple[int, np.ndarray, int]:
+    """How many matches the set asks for, its prefix for that, rarest runs first, and how many of these aren't hot."""
     size = len(runs)
     at = np.minimum(np.searchsorted(common, runs), max(len(common) - 1, 0))
     count = np.where(common[at] == runs, held[at], 1) if len(common) else np.ones(size, np.int64)
@@ -135,42 +137,54 @@ def prefix(runs: np.ndarray, common: np.ndarray, held: np.ndarray) -> tuple[int,
     matches = np.arange(1, longest + 1)
     cost = met + met / matches * (1 + size / RUNS_PER_POSTING)
     asked = int(np.argmin(cost)) + 1
-    return asked, runs[order[: base + asked]]
+    chosen = order[: base + asked]
+    return asked, runs[chosen], int((count[chosen] < HOT).sum())
 
 
 def prefixed(documents: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, node (a digest of the set; null if empty), size, asked (matches) and its prefix."""
+    """doc_id, node (a digest of the set; null if empty), size, asked (matches), its prefix and its runs that aren't hot."""
     shared = documents.sparkSession.sparkContext.broadcast(common)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, size, asked, found = [], [], [], []
+            node, size, asked, cool, found = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 runs = run_set(text)
                 node.append(hashlib.md5(runs.tobytes()).digest() if len(runs) else None)
                 size.append(len(runs))
-                k, first = prefix(runs, *shared.value) if len(runs) else (0, runs)
+                k, first, some = prefix(runs, *shared.value) if len(runs) else (0, runs, 0)
                 asked.append(k)
+                cool.append(some)
                 found.append(first)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
             values = pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(asked, pa.int32()), pa.ListArray.from_arrays(ends, values)],
-                names=["doc_id", "node", "size", "asked", "prefix"],
+                [batch.column("doc_id"), pa.array(node, pa.binary()), pa.array(size, pa.int64()), pa.array(asked, pa.int32()), pa.array(cool, pa.int32()), pa.ListArray.from_arrays(ends, values)],
+                names=["doc_id", "node", "size", "asked", "cool", "prefix"],
             )
 
     small_batches(documents.sparkSession, 500)
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return read.mapInArrow(each, "doc_id long, node binary, size long, asked int, prefix array<long>")
+    return read.mapInArrow(each, "doc_id long, node binary, size long, asked int, cool int, prefix array<long>")
 
 
-def _postings(nodes: DataFrame) -> DataFrame:
-    """A row per node and run of its prefix that another prefix has as well; ``level`` is the least k it belongs to."""
-    base = F.col("size") - F.expr(f"(size * {PERCENT} + 99) div 100")
-    every = nodes.select("id", "size", "asked", base.alias("base"), F.posexplode("prefix").alias("at", "run"))
-    every = every.select("id", "size", "asked", F.greatest(F.col("at") - F.col("base") + 1, F.lit(1)).cast("int").alias("level"), "run")
-    shared = every.groupBy("run").agg(F.count(F.lit(1)).alias("held")).filter("held > 1").select(F.col("run").alias("of"))
-    return staged(every.join(shared, F.col("run") == F.col("of")).drop("of"), "postings")
+def _postings(rows: DataFrame) -> DataFrame:
+    """A row per node and run of its prefix that a prefix of a node of a fitting size has as well.
+
+    ``level`` is the least k for which the run belongs to the prefix. Of a run's postings by size, one that
+    neither neighbour fits fits none. Runs known to be ``HOT`` are held by many and needn't be looked at.
+    """
+    nodes = rows.filter("node is not null").groupBy("node").agg(
+        F.min("row").alias("id"), *[F.first(x).alias(x) for x in ("size", "asked", "cool", "prefix")]
+    )
+    every = nodes.select("id", "size", "asked", "cool", F.posexplode("prefix").alias("at", "run"))
+    base = F.expr(f"size - (size * {PERCENT} + 99) div 100")
+    every = every.select("id", "size", "asked", F.greatest(F.col("at") - base + 1, F.lit(1)).cast("int").alias("level"), "run", (F.col("at") < F.col("cool")).alias("rare"))
+    by_size = Window.partitionBy("run").orderBy("size")
+    near = (F.lag("size").over(by_size) * 100 >= F.col("size") * PERCENT) | (F.col("size") * 100 >= F.lead("size").over(by_size) * PERCENT)
+    columns = ["id", "size", "asked", "level", "run"]
+    met = every.filter("rare").withColumn("near", near).filter("near").select(columns)
+    return staged(met.unionByName(every.filter("not rare").select(columns)), "postings")
 
 
 def _as_pair(postings: DataFrame, name: str) -> DataFrame:
@@ -211,15 +225,22 @@ def _across(postings: DataFrame, of: DataFrame) -> DataFrame:
 
 
 def _sets(documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """id and runs (bytes) of the nodes, from the texts of their least documents."""
+    """id and runs (bytes) of the nodes, from the texts of their least documents.
+
+    Rows of a doc_id meet in one task, or in a few where it has very many; a set that comes from several is harmless.
+    """
 
     def read_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             ids, found = [], []
             for one, node, text in zip(*(batch.column(x).to_pylist() for x in ("id", "node", "text"))):
+                if one in seen:
+                    continue
                 held = run_set(text).tobytes()
                 # Rows that only share the doc_id have another set.
                 if hashlib.md5(held).digest() == node:
+                    seen.add(one)
                     ids.append(one)
                     found.append(held)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.binary())], names=["id", "runs"])
@@ -228,7 +249,7 @@ def _sets(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     wanted = nodes.select("id", "node", F.col("least_id").alias("of"))
     texts = documents.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     read = texts.join(wanted, F.equal_null("doc_id", "of")).select("id", "node", "text")
-    return staged(read.mapInArrow(read_sets, "id long, runs binary").dropDuplicates(["id"]), "sets")
+    return staged(read.mapInArrow(read_sets, "id long, runs binary"), "sets")
 
 
 def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -252,14 +273,13 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def joined(documents: DataFrame, common: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:
     """doc_id, n_shingles and component_id of every document; ``common`` replaces the counted common runs."""
-    rows = staged(prefixed(documents, common_runs(documents) if common is None else common), "prefixed")
-    nodes = rows.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("least_id"), F.first("size").alias("size"), F.first("asked").alias("asked"), F.first("prefix").alias("prefix")
-    )
-    nodes = staged(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
-    postings = _postings(nodes)
+    rows = prefixed(documents, common_runs(documents) if common is None else common)
+    rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "prefixed")
+    nodes = rows.filter("node is not null").groupBy("node").agg(F.min("row").alias("id"), F.min("doc_id").alias("least_id"))
+    nodes = staged(nodes, "nodes")
+    postings = _postings(rows)
     met = staged(postings.select("id").distinct(), "met")
-    sets = _sets(documents, nodes.select("id", "node", "least_id").join(met, "id"))
+    sets = _sets(documents, nodes.join(met, "id"))
 
     found = Classes(met.withColumnRenamed("id", "node"))
     tested = None

@@ -54,20 +54,21 @@ def test_same_as_all_pairs(make_documents, prose, odd_rows, common):
 
 def test_any_number_of_matches_gives_the_same(make_documents, prose, monkeypatch):
     rows = group_of_copies(prose)
-    for most, rounds in ((1, 0), (4, 1), (200, 0)):
+    for most, rounds, hot in ((1, 0, 2), (4, 1, 8), (200, 0, 64)):
         monkeypatch.setattr(ngram_join, "MOST_MATCHES", most)
+        monkeypatch.setattr(ngram_join, "HOT", hot)
         monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
         assert result(joined(make_documents(*rows))) == all_pairs(rows)
 
 
 def test_common_runs_lengthen_the_prefix(prose):
     runs = run_set(prose(1, 104))
-    asked, first = prefix(runs, *NONE)
+    asked, first, _ = prefix(runs, *NONE)
     assert (asked, len(first)) == (1, 100 - 80 + 1)
-    asked, first = prefix(runs, runs, np.full(100, 1000))
-    assert asked > 1 and len(first) == 100 - 80 + asked
+    asked, first, cool = prefix(runs, runs, np.full(100, 1000))
+    assert cool == 0 and asked > 1 and len(first) == 100 - 80 + asked
     # Runs that are common stand behind the others.
-    asked, first = prefix(runs, runs[:70], np.full(70, 1000))
+    asked, first, _ = prefix(runs, runs[:70], np.full(70, 1000))
     assert set(first[:21].tolist()) <= set(runs[70:].tolist())
 
 
