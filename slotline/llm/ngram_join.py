@@ -15,7 +15,8 @@ runs seen once go when it is full; the ``COMMON`` most frequent runs of all task
 be sent to every task) are ordered by count and all others, by their hash, before them.
 
 Texts of equal sets are one node from the start. Postings of a run may be many (a group of near copies), so its
-members aren't all paired: in each of ``ROUNDS`` they meet one representative and linked nodes become one class.
+members aren't all paired: in each of ``ROUNDS`` they meet one representative (first the one that shares most of its
+runs, then others by hash) and linked nodes become one class.
 Afterwards those of different classes that still share enough runs are all compared: the members outside of a run's
 largest class with those of every other. No run, partner or candidate is capped or left out.
 
@@ -179,23 +180,38 @@ def _postings(rows: DataFrame) -> DataFrame:
     )
     every = nodes.select("id", "size", "asked", "cool", F.posexplode("prefix").alias("at", "run"))
     base = F.expr(f"size - (size * {PERCENT} + 99) div 100")
-    every = every.select("id", "size", "asked", F.greatest(F.col("at") - base + 1, F.lit(1)).cast("int").alias("level"), "run", (F.col("at") < F.col("cool")).alias("rare"))
+    every = every.select("id", "size", "asked", F.greatest(F.col("at") - base + 1, F.lit(1)).cast("int").alias("level"), "run", "at", (F.col("at") < F.col("cool")).alias("rare"))
     by_size = Window.partitionBy("run").orderBy("size")
     near = (F.lag("size").over(by_size) * 100 >= F.col("size") * PERCENT) | (F.col("size") * 100 >= F.lead("size").over(by_size) * PERCENT)
-    columns = ["id", "size", "asked", "level", "run"]
+    columns = ["id", "size", "asked", "level", "run", "at"]
     met = every.filter("rare").withColumn("near", near).filter("near").select(columns)
-    return staged(met.unionByName(every.filter("not rare").select(columns)), "postings")
+    met = met.unionByName(every.filter("not rare").select(columns))
+    # Of a node's runs only those left here can be shared; whose runs all are stands amid its group.
+    own = Window.partitionBy("id")
+    return staged(
+        met.select(
+            "id", "size", "asked", "level", "run", (F.col("size") - F.col("at")).alias("ahead"),
+            (F.row_number().over(own.orderBy("at")) - 1).alias("before"), (F.count(F.lit(1)).over(own) / F.col("size")).alias("central"),
+        ),
+        "postings",
+    )
 
 
 def _as_pair(postings: DataFrame, name: str) -> DataFrame:
-    return postings.select("run", *[F.col(x).alias(f"{name}_{x}") for x in ("id", "size", "asked", "level", "comp")])
+    return postings.select("run", *[F.col(x).alias(f"{name}_{x}") for x in ("id", "size", "asked", "level", "before", "ahead", "comp")])
 
 
 def _candidates(met: DataFrame) -> DataFrame:
-    """Pairs ``a``, ``b`` of met postings (``one_``, ``two_``) that share as many runs as the pair asks for."""
+    """Pairs ``a``, ``b`` of met postings (``one_``, ``two_``) that share as many runs as the pair asks for.
+
+    Around a run that both hold they have in common at most the lesser number of runs before it that can be
+    shared and, from it on, the lesser number left; met postings with less than a link needs aren't counted.
+    """
     asked = F.least("one_asked", "two_asked")
     fits = (F.least("one_size", "two_size") * 100 >= F.greatest("one_size", "two_size") * PERCENT) & (F.greatest("one_level", "two_level") <= asked)
-    pairs = met.filter(fits & (F.col("one_comp") != F.col("two_comp")) & (F.col("one_id") != F.col("two_id")))
+    needed = F.expr(f"((one_size + two_size) * {PERCENT} + {99 + PERCENT}) div {100 + PERCENT}")
+    possible = F.least("one_before", "two_before") + F.least("one_ahead", "two_ahead") >= needed
+    pairs = met.filter(fits & possible & (F.col("one_comp") != F.col("two_comp")) & (F.col("one_id") != F.col("two_id")))
     counted = pairs.groupBy(F.least("one_id", "two_id").alias("a"), F.greatest("one_id", "two_id").alias("b")).agg(
         F.count(F.lit(1)).alias("matched"), F.min(asked).alias("asked")
     )
@@ -207,7 +223,10 @@ def _with_one(postings: DataFrame, of: DataFrame, number: int) -> DataFrame:
     rows = postings.join(of.withColumnsRenamed({"node": "of"}), F.col("id") == F.col("of")).drop("of")
     chosen = rows.groupBy("run").agg(
         F.min("comp").alias("first"), F.max("comp").alias("last"),
-        F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("rank"), "id", "size", "asked", "level", "comp")).alias("chosen"),
+        F.min(F.struct(
+            (F.lit(0) if number else -F.col("central")).alias("far"), F.xxhash64("id", F.lit(number)).alias("rank"),
+            "id", "size", "asked", "level", "before", "ahead", "comp",
+        )).alias("chosen"),
     ).filter("first <> last").select("run", "chosen.*")
     return _as_pair(rows, "one").join(_as_pair(chosen, "two"), "run")
 
