@@ -526,6 +526,15 @@ ORACLE: dict[str, str] = {
     "stage_two_deliveries": _BASE
     + """SELECT strftime(extract_date, '%Y-%m-%d') AS receipt_date, CASE id % 2 WHEN 0 THEN 'a' ELSE 'b' END AS delivery,
                 count(*) AS claims, CAST(coalesce(sum(line_count), 0) AS BIGINT) AS lines FROM claim GROUP BY ALL""",
+    "stage_same_claim_twice": _BASE
+    + """SELECT strftime(CASE WHEN id % 4 = 1 THEN extract_date + to_years(CAST(1900 - year(extract_date) AS INT))
+                         ELSE extract_date END, '%Y-%m-%d') AS receipt_date,
+                CASE id % 4 WHEN 0 THEN 'a' WHEN 1 THEN 'c' ELSE 'b' END AS delivery,
+                count(*) AS claims, count(*) AS ids, CAST(coalesce(sum(line_count), 0) AS BIGINT) AS lines
+         FROM claim GROUP BY ALL""",
+    "extract_same_claim_twice": _sections().replace("FROM claim LEFT JOIN newest", "FROM (SELECT * FROM claim WHERE id % 4 <> 1) claim LEFT JOIN newest")
+    + f"""SELECT {_FILE}, record_type, count(*) AS records, {_CHECKSUM.format("record_content")} AS checksum
+          FROM records GROUP BY ALL""",
     "document_rejects": _BASE
     + """SELECT id, CASE WHEN id % 50 = 8 THEN 0 END AS place,
                 CASE id % 50 WHEN 7 THEN 'unreadable' WHEN 8 THEN 'line is no object' ELSE 'not an object' END AS reason

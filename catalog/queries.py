@@ -521,6 +521,39 @@ def stage_two_deliveries(spark, sf_dir):
     )
 
 
+def _delivered_twice(spark, sf_dir):
+    """Claims in deliveries ``a`` and ``b``, those of ``b`` again with another date in ``c``, and ``b`` anew without some."""
+    path = scratch_path(spark, "claims")
+    claims = testbed.claims(spark, sf_dir)
+    moved = F.regexp_replace("claim_jsonb", r'("receiptDate":")\d{4}', "$11900")
+    stage_claims(claims.where("id % 4 < 3"), path, "a")
+    stage_claims(claims.where("id % 4 > 0"), path, "b")
+    stage_claims(claims.where("id % 4 = 1").withColumn("claim_jsonb", moved), path, "c")
+    stage_claims(claims.where("id % 4 > 1"), path, "b")
+    return read_staged_claims(spark, path)
+
+
+@query
+def stage_same_claim_twice(spark, sf_dir):
+    return _delivered_twice(spark, sf_dir).groupBy("receipt_date", "delivery").agg(
+        F.count(F.lit(1)).alias("claims"), F.countDistinct("id").alias("ids"),
+        F.coalesce(F.sum(F.greatest("line_count", F.lit(0))), F.lit(0)).alias("lines"),
+    )
+
+
+@query
+def extract_same_claim_twice(spark, sf_dir):
+    """The records of claims that came in several deliveries; those that were moved are of no wanted day."""
+    run = Extract(_delivered_twice(spark, sf_dir), testbed.payments(spark, sf_dir), testbed.parameters(spark, sf_dir))
+    return _per_kind(run.all_records())
+
+
+def _per_kind(rows):
+    return rows.groupBy("extract_date", "mac_id", "phase", "record_type").agg(
+        F.count(F.lit(1)).alias("records"), F.sum(checksum(F.col("record_content"))).alias("checksum")
+    )
+
+
 # Checks
 
 

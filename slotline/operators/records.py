@@ -157,7 +157,7 @@ def claim_rows(numbered: DataFrame, claims: DataFrame, payments: DataFrame) -> D
     """
     document = "claim" if "claim" in claims.columns else "claim_jsonb"
     latest = latest_payment(payments).select(F.col("claim_id").alias("id"), "payment_response_json")
-    return claims.select("id", document).join(numbered, "id").join(latest, "id", "left")
+    return claims.select("id", "receipt_date", document).join(numbered, ["id", "receipt_date"]).join(latest, "id", "left")
 
 
 def records_of(

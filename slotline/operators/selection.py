@@ -20,6 +20,14 @@ def claims_on_date(keys: DataFrame, parameters: DataFrame) -> DataFrame:
     return keys.where(F.col("mac_id").isNotNull()).join(days, "receipt_date")
 
 
+def each_once(selected: DataFrame) -> DataFrame:
+    """The selected claims; a claim id that comes twice ends the run, as its records would come twice as well."""
+    columns = [name for name in selected.columns if name != "id"]
+    counted = selected.groupBy("id").agg(F.count(F.lit(1)).alias("held"), *[F.first(name).alias(name) for name in columns])
+    twice = F.raise_error(F.concat(F.lit("claim comes more than once: "), F.col("id").cast("string")))
+    return counted.where(F.when(F.col("held") > 1, twice.cast("boolean")).otherwise(F.lit(True))).select(*selected.columns)
+
+
 def with_phase(selected: DataFrame, payments: DataFrame) -> DataFrame:
     """``P3`` where any payment response exists for the claim, else ``P2``.
 

@@ -42,7 +42,8 @@ class Extract:
     def selected(self) -> DataFrame:
         keys = selection.claims_on_date(claim_keys(self._claims_of_days), self.parameters)
         # Several steps start from these narrow rows; of documents given as text each would parse all again.
-        return keys if is_staged(self.claims) else keys.persist(StorageLevel.MEMORY_AND_DISK)
+        # A staged table has each claim once; of claims given as text that has to be seen.
+        return keys if is_staged(self.claims) else selection.each_once(keys).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def phased(self) -> DataFrame:
@@ -129,4 +130,4 @@ class Extract:
             return self.claims.where(F.col("receipt_date").between(days.select("first").scalar(), days.select("last").scalar()))
         keyed = self.claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb")))))
         between = F.col("receiptDate").between(days.select("first").scalar(), days.select("last").scalar())
-        return keyed.where(F.col("macId").isNotNull() & between).select("id", "claim_jsonb")
+        return keyed.where(F.col("macId").isNotNull() & between).select("id", "claim_jsonb", F.col("receiptDate").alias("receipt_date"))

@@ -4,16 +4,19 @@ Claims are ``(id BIGINT, claim_jsonb STRING)``.  A staged claim table instead ha
 the document as a ``claim STRUCT``, parsed once for all later runs, and ``mac_id``,
 ``receipt_date`` and ``line_count`` as columns.  It is laid out by ``receipt_date`` and
 the ``delivery`` that brought the claims: selecting a day then reads that day's files only, and selecting and numbering
-claims reads no part of the documents.
+claims reads no part of the documents.  A claim that several deliveries brought counts once, as its latest delivery has it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotline.functions.json_text import CLAIM_SCHEMA, line_count, parse_claim, parse_claim_key
+from slotline.sources.deliveries import current_rows, finish_run
 
 CLAIM_TABLE = "id bigint, claim_jsonb string"
 PAYMENT_TABLE = "claim_id bigint, created_at timestamp, payment_response_json string"
@@ -34,8 +37,12 @@ def read_claims(spark: SparkSession, path: str, format: str = "parquet", **optio
 
 
 def read_staged_claims(spark: SparkSession, path: str) -> DataFrame:
-    """Claims as written by :func:`stage_claims`; receipt dates stay text."""
-    return spark.read.schema(STAGED_TABLE).parquet(path)
+    """Claims as written by :func:`stage_claims`, each once; receipt dates stay text."""
+    return current_rows(_all_runs(spark, path), path).select(*STAGED_TABLE.names)
+
+
+def _all_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(T.StructType(STAGED_TABLE.fields + [T.StructField("run", T.StringType())])).parquet(path)
 
 
 def read_payments(spark: SparkSession, path: str, format: str = "parquet", **options: str) -> DataFrame:
@@ -87,13 +94,14 @@ def parsed_claims(claims: DataFrame) -> DataFrame:
 
 
 def stage_claims(claims: DataFrame, path: str, delivery: str = "0") -> None:
-    """Add a delivery of claims to the typed table at ``path``, laid out by receipt date and delivery.
+    """Add a delivery of claims to the typed table at ``path``, laid out by receipt date, delivery and run.
 
-    Staging a delivery again replaces what it brought for the dates it has now; other
-    deliveries and dates stay.  Ids that are near lie together, and a busy day is spread
+    Staging a delivery again replaces all that it brought; other deliveries stay, and a claim in several counts
+    as the last of them has it (see :mod:`slotline.sources.deliveries`).  A delivery with a claim twice is refused,
+    and nothing changes.  Ids that are near lie together, and a busy day is spread
     over many tasks and files; documents are shuffled as text and parsed whole after that.
     """
-    near = F.shiftright("id", 16)
+    near, run = F.shiftright("id", 16), uuid.uuid4().hex
     placed = (
         claims.select("id", "claim_jsonb", F.inline(F.array(parse_claim_key(F.col("claim_jsonb")))))
         .select("id", "claim_jsonb", F.col("receiptDate").alias("receipt_date"))
@@ -109,9 +117,10 @@ def stage_claims(claims: DataFrame, path: str, delivery: str = "0") -> None:
             F.size("claim.serviceLines").cast("bigint").alias("line_count"),
             "receipt_date",
             F.lit(delivery).alias("delivery"),
+            F.lit(run).alias("run"),
         )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("receipt_date", "delivery")
+        .write.mode("append")
+        .partitionBy("receipt_date", "delivery", "run")
         .parquet(path)
     )
+    finish_run(_all_runs(claims.sparkSession, path), path, delivery, run)

@@ -301,3 +301,30 @@ def test_numbering_has_no_window_over_a_file(run):
     plan = run({1: claim()}).claim_rows()._jdf.queryExecution().optimizedPlan().toString()
     windows = [text for text in plan.split("\n") if "row_number" in text]
     assert windows and all("claim_id" in text or "piece" in text for text in windows)
+
+
+def test_claim_of_two_deliveries_counts_once(spark, tmp_path, make_claims, make_payments):
+    path = str(tmp_path / "claims")
+    first, other = claim(serviceLines=[line(1)]), claim(receiptDate="2025-12-11")
+    stage_claims(make_claims({1: first, 2: first}), path, "a")
+    stage_claims(make_claims({1: first, 2: other, 3: first}), path, "b")
+    held = lambda: sorted((r.id, r.delivery, r.receipt_date) for r in read_staged_claims(spark, path).collect())
+    assert held() == [(1, "b", "2025-12-12"), (2, "b", "2025-12-11"), (3, "b", "2025-12-12")]
+    extract = Extract(read_staged_claims(spark, path), make_payments(), extract_parameters(spark, DAY, RUN))
+    kinds = [r["record_type"] for r in records(extract)]
+    assert kinds == ["FILE_HEADER", "CLAIM_HEADER", "CLAIM_LINE", "CLAIM_HEADER", "CLAIM_LINE", "FILE_TRAILER"]
+    assert text(extract, "FILE_TRAILER")[17:] == "000000006000000002000000002"
+    # What a delivery no longer holds falls back to the one before, whatever date it had.
+    stage_claims(make_claims({3: claim(receiptDate="2025-12-10")}), path, "b")
+    assert held() == [(1, "a", "2025-12-12"), (2, "a", "2025-12-12"), (3, "b", "2025-12-10")]
+    # A refused delivery changes nothing.
+    twice = make_claims({1: first}).union(make_claims({1: other}))
+    with pytest.raises(ValueError, match="claim 1 2 times"):
+        stage_claims(twice, path, "c")
+    assert [row[1] for row in held()] == ["a", "a", "b"]
+
+
+def test_claim_given_twice_as_text_ends_the_run(spark, make_claims, make_payments):
+    twice = make_claims({1: claim()}).union(make_claims({1: claim(planCode="2")}))
+    with pytest.raises(Exception, match="claim comes more than once: 1"):
+        Extract(twice, make_payments(), extract_parameters(spark, DAY, RUN)).final().collect()
