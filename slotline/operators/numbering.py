@@ -25,18 +25,15 @@ def number_claims(phased: DataFrame, strict_nulls: bool = False) -> DataFrame:
             "lines_within": F.coalesce(F.sum(lines).over(near.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
         }
     )
-    narrow = rows.select(*FILE, "block", "piece", "line_count")
-    before = sums_before_pieces(narrow, FILE, {"claims_before": F.count(F.lit(1)), "lines_before": F.sum(lines)})
-    total_lines = F.sum("line_count")
-    totals = narrow.groupBy(*FILE).agg(
-        F.count(F.lit(1)).alias("total_claim_headers"),
-        (total_lines if strict_nulls else F.coalesce(total_lines, F.lit(0))).alias("total_claim_lines"),
-    )
-    number = F.col("claims_before") + F.col("place")
-    return within.join(before, [*FILE, "piece"]).join(totals, FILE).select(
+    # One aggregate of narrow rows gives the sums before each piece and the totals of the file.
+    sums = {"claims": F.count(F.lit(1)), "lines": F.sum("line_count")}
+    before = sums_before_pieces(rows.select(*FILE, "block", "piece", "line_count"), FILE, sums, totals=True)
+    number = F.col("claims") + F.col("place")
+    total_lines = F.col("total_lines") if strict_nulls else F.coalesce("total_lines", F.lit(0))
+    return within.join(before, [*FILE, "piece"]).select(
         *phased.columns,
         number.alias("claim_sequence"),
-        (number - 1 + F.col("lines_before") + F.col("lines_within")).alias("records_before"),
-        "total_claim_headers",
-        "total_claim_lines",
+        (number - 1 + F.col("lines") + F.col("lines_within")).alias("records_before"),
+        F.col("total_claims").alias("total_claim_headers"),
+        total_lines.alias("total_claim_lines"),
     )

@@ -29,21 +29,29 @@ def _earlier(group: list[str], order: str):
     return Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def sums_before_pieces(ordered: DataFrame, group: list[str], sums: dict[str, Column]) -> DataFrame:
-    """For each piece the sums over the group's rows in earlier pieces; ``sums`` are aggregates by name."""
+def sums_before_pieces(ordered: DataFrame, group: list[str], sums: dict[str, Column], totals: bool = False) -> DataFrame:
+    """For each piece the sums over the group's rows in earlier pieces; ``sums`` are aggregates by name.
+
+    With ``totals`` also the sums over all rows of the group, as ``total_`` and the name; NULL where
+    there was nothing to add up.
+    """
     pieces = ordered.groupBy(*group, "block", "piece").agg(*[value.alias(name) for name, value in sums.items()])
     blocks = pieces.groupBy(*group, F.col("block").alias("in_block")).agg(*[F.sum(name).alias(name) for name in sums])
     none = lambda column: F.coalesce(column, F.lit(0))
     blocks = blocks.select(
         *[F.col(name).alias(f"of_{name}") for name in group], "in_block",
         *[none(F.sum(name).over(_earlier(group, "in_block"))).alias(f"block_{name}") for name in sums],
+        *[F.sum(name).over(Window.partitionBy(*group)).alias(f"total_{name}") for name in sums if totals],
     )
     within = pieces.select(
         *group, "block", "piece",
         *[none(F.sum(name).over(_earlier([*group, "block"], "piece"))).alias(name) for name in sums],
     )
     joined = within.join(blocks, same(group, [f"of_{name}" for name in group]) & (F.col("block") == F.col("in_block")))
-    return joined.select(*group, "piece", *[(F.col(name) + F.col(f"block_{name}")).alias(name) for name in sums])
+    return joined.select(
+        *group, "piece", *[(F.col(name) + F.col(f"block_{name}")).alias(name) for name in sums],
+        *[f"total_{name}" for name in sums if totals],
+    )
 
 
 def same(left: list[str], right: list[str]) -> Column:

@@ -61,7 +61,7 @@ def _value(slot: Slot, computed: dict[str, Column], strict: bool) -> Column:
         case "spaced date":
             return date_text(F.coalesce(raw, default), " ")
         case "number":
-            return F.coalesce(read(number_text(raw), "number"), default)
+            return F.coalesce(computed[f"number {slot.start}"], default)
         case "whole":
             return F.coalesce(read(whole_number(raw), "whole number").cast("string"), default)
         case "json":
@@ -72,6 +72,17 @@ def _value(slot: Slot, computed: dict[str, Column], strict: bool) -> Column:
             return F.coalesce(raw.cast("string"), default)
 
 
+def header_numbers(strict: bool) -> Column:
+    """The texts of the claim header's numbers, in the order of its slots.
+
+    Reading one takes a large expression.  Over an array it is there once and not once per number, which
+    keeps the code of a record within what the JVM compiles.
+    """
+    raw = [F.col(slot.source) for slot in CLAIM_HEADER.slots if slot.form == "number"]
+    read = lambda text: required(number_text(text), text, "number") if strict else number_text(text)
+    return F.transform(F.array(*raw), read)
+
+
 def slot_values(layout: Layout, computed: dict[str, Column], strict: bool = False) -> list[Column]:
     return [_value(slot, computed, strict) for slot in layout.slots]
 
@@ -94,9 +105,11 @@ def file_values(layout: Layout) -> list[Column]:
 
 def claim_values(strict: bool = False) -> list[Column]:
     diagnosis = F.get("claim.diagnosisCodes", F.lit(0))
+    numbers = [slot for slot in CLAIM_HEADER.slots if slot.form == "number"]
     return slot_values(
         CLAIM_HEADER,
         {
+            **{f"number {slot.start}": F.get("numbers", F.lit(at)) for at, slot in enumerate(numbers)},
             "phase": F.col("phase"),
             "line_count": F.col("line_count"),
             "claim_diagnosis": diagnosis,
@@ -176,6 +189,8 @@ def records_of(
     """
     claim = F.col("claim") if "claim" in rows.columns else parse_claim(F.col("claim_jsonb"))
     rows = rows.withColumns({"claim": claim, "payment": parse_payment(F.col("payment_response_json"))})
+    if "CLAIM_HEADER" in sections:
+        rows = rows.withColumn("numbers", header_numbers(strict_values))
     single = lambda kind: F.array(
         F.struct(
             F.lit(kind).alias("record_type"),

@@ -328,3 +328,18 @@ def test_claim_given_twice_as_text_ends_the_run(spark, make_claims, make_payment
     twice = make_claims({1: claim()}).union(make_claims({1: claim(planCode="2")}))
     with pytest.raises(Exception, match="claim comes more than once: 1"):
         Extract(twice, make_payments(), extract_parameters(spark, DAY, RUN)).final().collect()
+
+
+def test_records_of_all_kinds_are_compiled(spark, run, tmp_path, make_claims, make_payments):
+    """Code that the JVM refuses to compile would run interpreted."""
+    stage_claims(make_claims({1: claim(serviceLines=[line(1)])}), str(tmp_path / "claims"))
+    staged = Extract(read_staged_claims(spark, str(tmp_path / "claims")), make_payments((1, None, {})), extract_parameters(spark, DAY, RUN))
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    spark.conf.set("spark.sql.codegen.factoryMode", "CODEGEN_ONLY")
+    try:
+        for extract in (staged, run({1: claim(serviceLines=[line(1)])}, (1, None, {}))):
+            assert len(records(extract)) == 4
+            assert extract.all_records("CLAIM_HEADER").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+        spark.conf.unset("spark.sql.codegen.factoryMode")
