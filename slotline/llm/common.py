@@ -44,11 +44,16 @@ def staged(frame: DataFrame, label: str, **options) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch from which on it gets no further row.
+BATCH_BYTES = 32 << 20
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Get ready for Python tasks: Arrow batches of so many rows, so that long texts don't
+    """Get ready for Python tasks: Arrow batches of so many rows and ``BATCH_BYTES``, so that long texts don't
     fill a worker's memory, and this package on the workers' path where they see its folder
     (elsewhere it is installed or sent along with ``--py-files``)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     here = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if here not in paths:

@@ -152,8 +152,8 @@ def clean(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFra
     """The documents in which no phrase of the items occurs, with all their columns."""
     found = find(documents, items, width)
     hits = staged(found.select(F.col("doc.doc_id").alias("hit_id"), F.col("doc.text").alias("hit_text")).distinct(), "hit-documents")
-    here = F.equal_null(F.col("doc_id"), F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_text"))
-    return documents.join(hits, here, "left_anti")
+    here = F.equal_null(F.col("own.doc_id"), F.col("found.hit_id")) & (F.xxhash64("own.text") == F.col("found.hit_text"))
+    return documents.alias("own").join(hits.alias("found"), here, "left_anti")
 
 
 def report(documents: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:

@@ -109,7 +109,8 @@ def _items(lists: DataFrame, stood: DataFrame) -> DataFrame:
         "row", "times", items.alias("items"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(COPIES).cast("long"))).alias("nth")
     )
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(COPIES).cast("long"), F.col("times") - F.col("nth"))))
-    return some.repartition(F.xxhash64("row", "nth")).select("items", each.alias("copy")).select("items")
+    tasks = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return some.repartition(tasks, F.xxhash64("row", "nth")).select("items", each.alias("copy")).select("items")
 
 
 def mined(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,

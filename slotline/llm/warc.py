@@ -270,8 +270,10 @@ def read(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES,
         return out
 
     small_batches(spark, 500)
-    # A range a row, dealt evenly: as many tasks as ranges up to the session's shuffle partitions.
-    dealt = ranges.repartition(F.xxhash64("path", "start"))
+    # A range is a tiny row and a lot of work. A stated number of tasks is kept; without one adaptive
+    # execution would merge the rows, by their size, into one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = ranges.repartition(tasks, F.xxhash64("path", "start"))
     return dealt.mapInPandas(unpack, RECORDS)
 
 

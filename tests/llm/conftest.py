@@ -2,7 +2,8 @@ import pytest
 
 #: Columns that the operators' own intermediate columns are named like.
 CLASHING = "score double, node string, words string, size int, kept boolean, belief double, pattern int, host string, " \
-    "term string, doc string, part int, nth int, first long, tokens string, rule string, toxic string, labels string"
+    "term string, doc string, part int, nth int, first long, tokens string, rule string, toxic string, labels string, " \
+    "hit_id string, hit_text string, kept_id string, of string, run string, block string, inside string, row string"
 DOCUMENTS = f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}"
 EXTRA = len(CLASHING.split(","))
 WORDS = "river stone lamp quiet orange table winter cloud seven paper garden light ocean train silver morning".split()

@@ -100,3 +100,12 @@ def test_records_that_are_missing_end_the_run(spark, pages):
         file.write(b"no record")
     with pytest.raises(ValueError, match="is no record"):
         list(warc.records_in(path, 0, (size := __import__("os").path.getsize(path)), size))
+
+
+def test_ranges_are_read_by_many_tasks(spark, monkeypatch):
+    """A range is a tiny row; adaptive execution must not merge them into one task."""
+    pages = spark.range(200).selectExpr("id AS page_id", "concat('http://h.example/', id) AS url", "repeat(sha2(string(id), 512), 40) AS html")
+    files = warc.write(warc.with_kinds(pages), warc.new_path(spark, "warc"))
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    found = warc.read(spark, files, payloads=False)
+    assert found.rdd.getNumPartitions() > 1 and found.count() == 200
