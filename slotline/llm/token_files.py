@@ -92,7 +92,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     """
     files = spark.read.schema(SCHEMA).parquet(path).withColumn("file", F.col("_metadata.file_name"))
     held = files.groupBy("file").agg(F.sum("n_tokens").alias("held"))
-    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # By number, as the names' order as text ends where the numbers get longer.
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
     # Stored, so that the planner knows how few rows these are before it joins.
     starts = staged(held.select("file", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("earlier")), "file-starts")
     return files.join(starts, "file").select("doc_id", (F.col("earlier") + F.col("offset")).alias("start"), "n_tokens", "ids")

@@ -13,14 +13,14 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {x.split("_")[0] for x in names}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} <= {x.split("_")[0] for x in names}
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     database = duckdb.connect()
-    for one in ("documents", "pages", "benchmark", "labels"):
+    for one in ("documents", "pages", "benchmark", "labels", "conversations"):
         database.execute(f"CREATE VIEW {one} AS SELECT * FROM '{SF_DIR}/{one}.parquet'")
     frame = queries.QUERIES[name](spark, SF_DIR)
     columns = sorted(frame.columns)

@@ -164,3 +164,15 @@ def test_recipes_use_every_piece_once():
             assert sum(recipe.lengths) <= 2048
             np.add.at(used, list(recipe.lengths), recipe.count)
         assert (used + streamed == histogram).all()
+
+
+def test_starts_follow_the_files_numbers(spark, tmp_path):
+    """Beyond 99,999 files their names as text are in another order."""
+    for number, ids in ((99_999, [5, 6]), (100_000, [7])):
+        one = spark.createDataFrame([(number, len(ids), 0, ids)], token_files.SCHEMA).coalesce(1)
+        token_files.write(one, str(tmp_path / str(number)))
+        part = max((tmp_path / str(number)).glob("part-*.parquet"), key=lambda x: x.stat().st_size)
+        (tmp_path / "files").mkdir(exist_ok=True)
+        part.rename(tmp_path / "files" / f"part-{number:05d}-x.parquet")
+    found = token_files.read(spark, str(tmp_path / "files")).collect()
+    assert {row.doc_id: row.start for row in found} == {99_999: 0, 100_000: 2}
