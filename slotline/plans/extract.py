@@ -101,7 +101,7 @@ class Extract:
         return ordered.select(*records.RECORD_COLUMNS, "record_content")
 
     def write(self, path: str, records_per_part: int = 50_000) -> None:
-        """One folder per file name, whose text is its files in the order of their names.
+        """One folder per file name, whose text is its files in the order of their numbers.
 
         Claims are placed by running number of parts, of about ``records_per_part`` records each,
         before they are turned into records: a file of any size is written by many tasks, and

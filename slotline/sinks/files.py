@@ -1,7 +1,7 @@
 """One folder of ordered text files per output file.
 
 ``<path>/file_name=<name>/`` holds the records of a file; its text is its files in the
-order of their names.  Writing replaces the folders of the file names written, whole,
+order of the numbers in their names (as text, names of more than five digits sort elsewhere).  Writing replaces the folders of the file names written, whole,
 and leaves all others as they are.
 """
 
@@ -23,7 +23,7 @@ def in_task_order(rows: DataFrame, parts: DataFrame) -> DataFrame:
     """``rows`` dealt to tasks in the order of ``(file_name, part)``, the same number of parts to each.
 
     ``parts`` has a row for each part there may be; parts are far fewer than rows,
-    and what is written by earlier tasks gets earlier file names.
+    and what is written by earlier tasks gets lower numbers in file names.
     """
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     place = F.row_number().over(Window.orderBy("file_name", "part")) - 1
