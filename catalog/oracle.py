@@ -2,7 +2,8 @@
 
 Nothing here reads JSON: claims, lines and payments are flat columns worked out
 from the test tables by the adapter's rules, and records are put together from
-those.  Only the constant bytes of the two wide records come from the layouts.
+those.  Of the two wide records the constant bytes and the places, widths and pads of the
+slots come from the layouts; the values in the slots are stated here.
 """
 
 from __future__ import annotations
