@@ -5,7 +5,8 @@ Rules are pruned by support and confidence, and those that say no more than a sh
 dropped. An inverted index from tokens to rules finds the rules of each URL: a rule fits if as
 many of its tokens were found as it has. Given host and path rules go first.
 
-Built-in functions and the library's FP-growth only. All tokens of a URL count. A token in a rule is in at
+Built-in functions and the library's FP-growth only. All of a URL's tokens as ``tokens`` defines them count; rules have
+``LONGEST_RULE`` tokens at most, as longer ones say little more and are many. A token in a rule is in at
 least ``min_support`` of the labelled URLs; rarer ones are dropped before mining, which bounds the number of tokens
 in rules by the tokens of a URL over ``min_support``, whatever the corpus. Tokens that are in exactly the same labelled
 URLs are mined as one and written out again in the rules: a rule with two of them says no more than one with one.
@@ -64,7 +65,8 @@ def given(rules: tuple[tuple[str, str], ...] = RULES) -> tuple[Column, Column]:
 
 def tokens() -> Column:
     """The distinct tokens of a URL: host labels by their place from the right, words of the host's
-    labels, path parts, file endings, names in the query. Parts that are numbers say nothing."""
+    labels of three letters and more, path parts without a digit, file endings of two to five letters, names
+    in the query. Parts with a digit are mostly numbers of pages and say nothing of others."""
     labels = F.reverse(F.filter(F.split("host", r"\."), lambda x: x != ""))
     by_place = F.transform(labels, lambda x, i: F.concat(F.lit("h"), F.least(i, F.lit(3)).cast("string"), F.lit(":"), x))
     words = F.transform(F.filter(F.split("host", r"[.\-]"), lambda x: F.length(x) > 2), lambda x: F.concat(F.lit("w:"), x))
