@@ -448,6 +448,13 @@ ORACLE: dict[str, str] = {
                 AS bene_not_forwarded, CASE WHEN has_provider THEN 'E' || e END AS provider_eob FROM pay""",
     "json_index": _BASE + "SELECT id, code AS first_code, CAST(NULL AS VARCHAR) AS third_code FROM claim",
     "json_array_len": _BASE + "SELECT id, line_count FROM claim",
+    "json_nested_digits": """
+        SELECT l_orderkey, l_linenumber, l_partkey,
+               '{"paid": ' || l_extendedprice::DECIMAL(12,2)::VARCHAR || ', "steps": ["' || l_returnflag || '", '
+               || l_discount::DECIMAL(12,2)::VARCHAR || ', [' || l_extendedprice::DECIMAL(12,2)::VARCHAR || ']]}' AS cutbacks,
+               '[' || l_discount::DECIMAL(12,2)::VARCHAR || ', "' || l_linestatus || '"]' AS line_cutbacks
+        FROM lineitem
+    """,
     "json_array_text": _BASE + "SELECT id, position, cutbacks, modifiers FROM service",
     "pad_scalars": """SELECT o_orderkey, lpad(o_orderkey::VARCHAR, 3, '0') AS short_left,
         lpad(o_orderkey::VARCHAR, 13, '0') AS long_left,

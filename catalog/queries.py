@@ -263,6 +263,24 @@ def json_array_text(spark, sf_dir):
     )
 
 
+@query
+def json_nested_digits(spark, sf_dir):
+    """Objects and mixed arrays read as text, from documents made of the line items."""
+    price, share = (F.col(x).cast("decimal(12,2)").cast("string") for x in ("l_extendedprice", "l_discount"))
+    document = F.format_string(
+        '{"macId":"1","cutbackAmounts":{"paid":%s,"steps":["%s",%s,[%s]]},"serviceLines":[{"cutbackAmounts":[ %s, "%s" ]}]}',
+        price, "l_returnflag", share, price, share, "l_linestatus",
+    )
+    lines_ = testbed.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", json_text.parse_claim(document).alias("claim")
+    )
+    return lines_.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        json_text.spaced_json(F.col("claim.cutbackAmounts")).alias("cutbacks"),
+        json_text.spaced_json(F.col("claim.serviceLines")[0]["cutbackAmounts"]).alias("line_cutbacks"),
+    )
+
+
 @query
 def pad_scalars(spark, sf_dir):
     key = F.col("o_orderkey").cast("string")

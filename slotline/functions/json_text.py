@@ -83,9 +83,43 @@ _BARE_CODES = (
 )
 
 
+# A value within ``NESTING`` levels of brackets. Repeats are possessive, so the pattern takes each character once and
+# its text grows by one copy of its parts a level; values nested deeper are read as the parser gives them.
+NESTING = 16
+_QUOTED = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def _nested(levels: int) -> str:
+    inner = f"|{_nested(levels - 1)}" if levels > 1 else ""
+    return rf'[\[{{](?:[^\[\]{{}}"]++|{_QUOTED}{inner})*+[\]}}]'
+
+
+# An object, or an array of more than texts only or numbers only, under a key that is read as text.
+_PLAIN_ARRAY = rf"\[\s*(?:{_QUOTED}\s*(?:,\s*{_QUOTED}\s*)*+)?\]|\[[\s0-9.,eE+-]*\]"
+_TEXT_KEY = r'"(?!(?:serviceLines|diagnosisCodes|beneCheck|providerCheck)")\w+"\s*:\s*'
+_NESTED_TEXT = rf"({_TEXT_KEY})(?!{_PLAIN_ARRAY})({_nested(NESTING)})"
+
+
+def nested_as_text(document: Column) -> Column:
+    """Nested values under keys that are read as text become JSON strings of their source text, byte for byte.
+
+    The parser would write them anew and lose digits. The document is cut at those values and put together again
+    with each of them quoted; most documents have none and stay as they are.
+    """
+    between = F.split(document, _NESTED_TEXT)
+    key = F.regexp_extract_all(document, F.lit(_NESTED_TEXT), F.lit(1))
+    value = F.regexp_extract_all(document, F.lit(_NESTED_TEXT), F.lit(2))
+    escaped = lambda x: F.replace(F.replace(x, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    one_line = lambda x: F.regexp_replace(x, r"[\n\r\t]", " ")
+    quoted = F.zip_with(key, value, lambda k, v: F.concat(k, F.lit('"'), escaped(one_line(v)), F.lit('"')))
+    rebuilt = F.zip_with(between, quoted, lambda text, v: F.concat(text, F.coalesce(v, F.lit(""))))
+    return F.when(document.rlike(_NESTED_TEXT), F.array_join(rebuilt, "")).otherwise(document)
+
+
 def keep_digits(document: Column) -> Column:
-    """Quote bare numbers, so that ``100.50`` is read as the text ``100.50``."""
-    return F.regexp_replace(F.regexp_replace(document, _BARE_NUMBERS, '$1"$2"'), _BARE_CODES, '$1"$2"')
+    """Quote bare numbers, so that ``100.50`` is read as the text ``100.50``, and nested values as written."""
+    numbers = F.regexp_replace(nested_as_text(document), _BARE_NUMBERS, '$1"$2"')
+    return F.regexp_replace(numbers, _BARE_CODES, '$1"$2"')
 
 
 def parse_claim(document: Column) -> Column:
@@ -125,8 +159,7 @@ def spaced_json(text: Column) -> Column:
 
     Blanks and separators inside quoted strings stay as they are.
     """
-    quoted = r'"(?:[^"\\]|\\.)*+"'
-    # Arrays of bare numbers come as they were written, all else comes compact.
-    compact = F.when(text.contains('"'), text).otherwise(F.regexp_replace(text, r"\s", ""))
-    spaced = F.regexp_replace(compact, rf'\G((?:[^",:]|{quoted})*+)([,:])', "$1$2 ")
+    # Nested values come as they were written, with whatever blanks there were.
+    compact = F.regexp_replace(text, rf'\G((?:[^"\s]|{_QUOTED})*+)\s', "$1")
+    spaced = F.regexp_replace(compact, rf'\G((?:[^",:]|{_QUOTED})*+)([,:])', "$1$2 ")
     return F.when(text.rlike(r"^[\[{]"), spaced).otherwise(text)

@@ -98,6 +98,37 @@ def test_arrays_read_as_text(spark):
     assert got == ["[12.50, 7]", "[1.0, 2.50]", '["a,b", "c:\\"d"]', "a,b", '[{"k": "v"}, 1]', "[]"]
 
 
+def test_nested_values_keep_their_digits(spark):
+    cutbacks = lambda x: json_text.spaced_json(json_text.parse_claim(x)["cutbackAmounts"])
+    line = lambda x: json_text.spaced_json(json_text.parse_claim(x)["serviceLines"][0]["cutbackAmounts"])
+    name = lambda x: json_text.parse_claim(x)["beneficiaryLastName"]
+    texts = {
+        '{"a":1.50}': '{"a": 1.50}',
+        '[1.50,"x"]': '[1.50, "x"]',
+        '["x",[2.00,{"b":[1.10,null]}],true]': '["x", [2.00, {"b": [1.10, null]}], true]',
+        '{ "a" : 1.50 ,\n "b" : "c  d, \\"e\\": 1.0 ]" }': '{"a": 1.50, "b": "c  d, \\"e\\": 1.0 ]"}',
+        '{"serviceLines":[{"x":1.0}],"u":"\\u00e9\\\\"}': '{"serviceLines": [{"x": 1.0}], "u": "\\u00e9\\\\"}',
+        "{}": "{}",
+        '[["a"],["b"]]': '[["a"], ["b"]]',
+        "[" * 12 + "1.50" + "]" * 12: "[" * 12 + "1.50" + "]" * 12,
+    }
+    # Two nested values in one document, next to values that aren't.
+    documents = [
+        f'{{"beneficiaryLastName":"{{\\"k\\":[1.0,2","other":{x},"cutbackAmounts":{x},"serviceLines":[{{"cutbackAmounts":{x}}},1.0]}}'
+        for x in texts
+    ]
+    assert values(spark, cutbacks, *documents) == list(texts.values())
+    assert values(spark, line, *documents) == list(texts.values())
+    assert values(spark, name, *documents) == ['{"k":[1.0,2'] * len(texts)
+
+
+def test_long_nested_values(spark):
+    cutbacks = lambda x: json_text.parse_claim(x)["cutbackAmounts"]
+    long = "[" + ",".join(f'{{"k{i}":{i}.50}}' for i in range(20000)) + ',"x"]'
+    open_ = '{"cutbackAmounts":' + "[" * 3000 + '"x"'
+    assert values(spark, cutbacks, f'{{"cutbackAmounts":{long}}}', open_) == [long, None]
+
+
 def test_number_codes_stay_an_array(spark):
     first = lambda x: F.get(json_text.parse_claim(x)["diagnosisCodes"], F.lit(0))
     assert values(spark, first, '{"diagnosisCodes":[25000,4019]}', '{"diagnosisCodes":[]}', "{}") == ["25000", None, None]
