@@ -19,6 +19,9 @@ from slotline.operators.payments import responses_of
 from slotline.sinks.files import in_task_order, write_files
 from slotline.sources.claims import claim_keys, is_staged
 
+# Records that a task puts into one part of a file, more or less.
+RECORDS_PER_PART = 50_000
+
 
 @dataclass
 class Extract:
@@ -86,9 +89,9 @@ class Extract:
     def final(self) -> DataFrame:
         """The ordered result relation.
 
-        Claims are sorted, then each becomes its records in place, so neither the
-        records nor their text are shuffled.  Only the strict order, which moves
-        trailers between claims, has to sort the records themselves.
+        Claims are placed by their known running numbers and sorted within tasks, then each becomes
+        its records in place: nothing is sampled, and neither the records nor their text are shuffled.
+        Only the strict order, which moves trailers between claims, has to sort the records themselves.
         """
         if self.strict_sequence:
             unordered = records.records_of(self.claim_rows(), compact=True, strict_values=self.strict_values)
@@ -96,23 +99,28 @@ class Extract:
             ordered = ordered.withColumn("record_content", records.text_of_slots())
         else:
             ordered = records.records_of(
-                self.claim_rows().orderBy("file_name", "claim_sequence"), strict_values=self.strict_values
+                self._placed(RECORDS_PER_PART).sortWithinPartitions("file_name", "part", "claim_sequence"),
+                strict_values=self.strict_values,
             )
         return ordered.select(*records.RECORD_COLUMNS, "record_content")
 
-    def write(self, path: str, records_per_part: int = 50_000) -> None:
+    def write(self, path: str, records_per_part: int = RECORDS_PER_PART) -> None:
         """One folder per file name, whose text is its files in the order of their numbers.
 
         Claims are placed by running number of parts, of about ``records_per_part`` records each,
         before they are turned into records: a file of any size is written by many tasks, and
         only claims are shuffled.  Of ``path`` only the folders of this run's files are replaced.
         """
+        placed = self._placed(records_per_part)
+        compact = records.records_of(placed, compact=True, strict_values=self.strict_values)
+        write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
+
+    def _placed(self, records_per_part: int) -> DataFrame:
+        """Claims in tasks by file and ``part``, the running number of parts of so many records."""
         rows = self.claim_rows().withColumn("part", F.floor(F.col("records_before") / records_per_part))
         held = F.col("total_claim_headers") + F.coalesce("total_claim_lines", F.lit(0))
         parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(held / records_per_part)))
-        placed = in_task_order(rows, records.named(self.mac_totals(), self.parameters).select("file_name", parts.alias("part")))
-        compact = records.records_of(placed, compact=True, strict_values=self.strict_values)
-        write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
+        return in_task_order(rows, records.named(self.mac_totals(), self.parameters).select("file_name", parts.alias("part")))
 
     @cached_property
     def _claims_of_days(self) -> DataFrame:
