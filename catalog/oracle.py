@@ -12,7 +12,7 @@ from slotline.layouts import CLAIM_HEADER, CLAIM_LINE, Slot
 
 _BASE = """
 WITH line AS (
-    SELECT l_orderkey AS okey, l_partkey >> 20 AS doc,
+    SELECT l_orderkey AS okey, l_partkey // 1024 AS doc,
            l_linenumber AS number, l_partkey AS part, l_suppkey AS supp, l_extendedprice AS price,
            CASE WHEN l_partkey % 2 = 0 THEN l_partkey::VARCHAR END AS icn,
            CASE WHEN l_suppkey % 4 <> 0 THEN strftime(l_shipdate, '%Y-%m-%d') END AS service_date,

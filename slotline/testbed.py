@@ -5,8 +5,9 @@ line items as service lines, and each event a payment response.  Rules:
 
 * ``id`` is the order key; ``macId`` is 10000 + the customer's nation, missing on
   every 97th order; claims are received in quarterly batches.
-* A document holds an order's lines of one range of part keys (``2 ** PART_BITS`` of them),
-  so that the lines of a very large order are spread over several claims.
+* A document holds an order's lines of one range of part keys (``2 ** PART_BITS`` of them). Parts grow with the
+  lines, some 30 lines each: such a range has about 30,000 lines of all orders at every scale, so a document has
+  no more than that, and an order of a third of all lines is many claims of some 10,000 lines each.
 * Event ``e`` of user ``u`` pays claim ``100 u + e mod 29``: no join is needed, and
   the events of one busy user spread over 29 claims.
 * Values go missing by simple remainders, to reach every default and fall-back.
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PART_BITS = 20
+PART_BITS = 10
 # Ids of the second and later documents of one order lie above all order keys.
 DOCUMENT_STEP = 1 << 40
 

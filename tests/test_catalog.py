@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from catalog.oracle import ORACLE
 from catalog.queries import QUERIES
@@ -43,3 +44,12 @@ def test_lines_of_far_parts_become_several_claims(spark, monkeypatch):
     assert claims.select("id").distinct().count() == claims.count()
     lines = claims.selectExpr("sum(json_array_length(get_json_object(claim_jsonb, '$.serviceLines'))) AS n").collect()[0].n
     assert lines == testbed.table(spark, SF_DIR, "lineitem").count()
+
+
+def test_an_order_of_a_third_of_all_lines_is_many_claims(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    line = testbed.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    order = F.when(F.col("l_partkey") % 3 == 0, 1).otherwise(F.col("l_orderkey"))
+    held = line.groupBy(order.alias("order"), F.shiftright("l_partkey", testbed.PART_BITS).alias("document")).count()
+    assert held.where("order = 1").count() > 15
+    assert held.agg(F.max("count")).collect()[0][0] < 15_000
