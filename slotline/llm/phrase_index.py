@@ -13,6 +13,9 @@ every place of a phrase has all of its terms, so nothing is missed. Places are g
 never by term or phrase, so that a word or passage that a third of all documents share is spread over all
 tasks; rows never pair documents with one another.
 
+``proximity`` finds pairs of terms that stand near each other, with an index of just the terms asked for, and ``items_near``
+does so for the two rarest terms of each item. They serve searches of their own: ``find``, ``report`` and ``clean`` match exact phrases.
+
 Null and empty texts, and such without words, have no words and no hits; null or word-free items have no
 phrases and never occur. An item without an id counts as id ``""``. Rows are told apart by doc_id and
 a hash of the text: repeated rows give repeated results. Empty tables give no hits or no rows. Only
@@ -117,17 +120,64 @@ def occurrences(index: DataFrame, groups: DataFrame, width: int = WIDTH) -> Data
 
 
 def near(index: DataFrame, first: str, second: str, within: int) -> DataFrame:
-    """Places where two indexed terms stand at most so many words apart: doc, first_at, second_at.
+    """Places where two terms of the index stand at most so many words apart: doc, first_at, second_at.
 
-    Positions are put into bands of that width, and a term's band meets its neighbours: an equi-join.
+    An index holds the terms it was made with only; ``proximity`` makes one for the terms asked for.
     """
+    pair = index.sparkSession.range(1).select(F.lit("").alias("pair"), F.lit(first).alias("first"), F.lit(second).alias("second"))
+    return _pairs_near(index, pair, within).drop("pair")
+
+
+def _pairs_near(index: DataFrame, pairs: DataFrame, within: int) -> DataFrame:
+    """Positions are put into bands of ``within``, and a term's band meets its neighbours: an equi-join by document, pair
+    and band, so that no long document and no frequent term is one task's."""
+    if within < 1:
+        raise ValueError("terms are at least one word apart")
     band = lambda name: F.floor(F.col(name) / within)
-    one = index.filter(F.col("term") == first).select("doc", F.col("at").alias("first_at"))
+    placed = index.select("doc", "term", "at")
+    one = placed.join(pairs.select("pair", F.col("first").alias("term")), "term").withColumnRenamed("at", "first_at")
     one = one.withColumn("band", F.explode(F.array(*[band("first_at") + x for x in (-1, 0, 1)])))
-    two = index.filter(F.col("term") == second).select("doc", F.col("at").alias("second_at"))
+    two = placed.join(pairs.select("pair", F.col("second").alias("term")), "term").withColumnRenamed("at", "second_at")
     two = two.withColumn("band", band("second_at"))
     apart = F.abs(F.col("first_at") - F.col("second_at"))
-    return one.join(two, ["doc", "band"]).filter((apart <= within) & (apart > 0)).select("doc", "first_at", "second_at")
+    met = one.drop("term").join(two.drop("term"), ["doc", "pair", "band"]).filter((apart <= within) & (apart > 0))
+    return met.select("doc", "pair", "first_at", "second_at")
+
+
+def proximity(documents: DataFrame, pairs: DataFrame, within: int) -> DataFrame:
+    """Where the terms of each of the ``pairs`` (pair, first, second; terms in lower case) stand at most ``within`` words
+    apart, in either order: doc_id, pair, first_at and second_at (positions from 0).
+
+    The index is made for the terms asked for, so a term that is missing here is in no document. A pair of one
+    term twice gives its different positions. Pairs of one name are told apart by their terms. Repeated documents give each place once; pairs with nulls give none.
+    """
+    wanted = staged(pairs.select("pair", "first", "second").filter("first is not null and second is not null").distinct(), "pairs")
+    terms = wanted.select(F.col("first").alias("term")).union(wanted.select("second")).distinct().withColumn("wide", F.lit(False))
+    tokenised = documents.select(_key().alias("doc"), words().alias("words")).dropDuplicates(["doc"])
+    index = staged(postings(tokenised, terms), "near-postings")
+    return _pairs_near(index, wanted.withColumn("pair", F.struct("pair", "first", "second")), within).select(
+        F.col("doc.doc_id").alias("doc_id"), F.col("pair.pair").alias("pair"), "first_at", "second_at"
+    )
+
+
+def rare_pairs(documents: DataFrame, items: DataFrame) -> DataFrame:
+    """The two different terms of each item that are rarest in the documents (ties: least as text), as pairs named by the item_id.
+
+    Terms that no document has are left out; an item with fewer than two others has no pair.
+    """
+    each = items.select(F.coalesce("item_id", F.lit("")).alias("pair"), words().alias("words"))
+    each = staged(each.select("pair", F.xxhash64("words").alias("item"), F.explode("words").alias("term")).distinct(), "item-terms")
+    every = documents.select(F.explode(words()).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("held"))
+    counted = each.join(every, "term")
+    least = counted.groupBy("pair", "item").agg(F.slice(F.sort_array(F.collect_list(F.struct("held", "term"))), 1, 2).alias("least"))
+    return least.filter(F.size("least") == 2).select(
+        "pair", F.col("least")[0]["term"].alias("first"), F.col("least")[1]["term"].alias("second")
+    ).distinct()
+
+
+def items_near(documents: DataFrame, items: DataFrame, within: int) -> DataFrame:
+    """Proximity matches of items: doc_id, item_id and where its two rarest terms stand at most ``within`` words apart."""
+    return proximity(documents, rare_pairs(documents, items), within).withColumnRenamed("pair", "item_id")
 
 
 def _key() -> Column:

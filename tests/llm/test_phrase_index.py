@@ -82,6 +82,45 @@ def test_terms_near_each_other(make_documents, spark):
     assert sorted(map(tuple, near.collect())) == [(1, 0, 4), (2, 1, 0)]
 
 
+def near_by_hand(documents, pairs, within):
+    out = set()
+    for doc_id, text in set(documents):
+        w = words(text)
+        for pair, first, second in pairs:
+            for i, x in enumerate(w):
+                for j in range(max(i - within, 0), min(i + within + 1, len(w))):
+                    if x == first and w[j] == second and i != j:
+                        out.add((doc_id, text, pair, i, j))
+    return sorted((x[:1] + x[2:] for x in out), key=str)
+
+
+def test_pairs_near_each_other_are_those_found_by_hand(make_documents, spark, prose, odd_rows):
+    documents = list(odd_rows) + [(100 + k, prose(k % 9, 60)) for k in range(20)] + [(300, "a b " * 40), (301, "a a a"), (300, "b A")]
+    documents += documents[-2:]
+    common = prose(3, 60).lower().split()
+    pairs = [("p1", "a", "b"), ("p2", "a", "a"), ("p3", common[0], common[5]), ("p3", common[2], common[9]), (None, "b", "a"), ("p4", "nowhere", "a"), ("p5", None, "a")]
+    frame = spark.createDataFrame(pairs + pairs[:2], "pair string, first string, second string")
+    for within in (1, 4, 25):
+        got = phrase_index.proximity(make_documents(*documents), frame, within).collect()
+        assert sorted(map(tuple, got), key=str) == near_by_hand(documents, pairs, within)
+    with pytest.raises(ValueError):
+        phrase_index.proximity(make_documents(*documents), frame, 0)
+
+
+def test_items_are_found_by_their_rarest_terms(make_documents, make_items):
+    documents = [(1, "the heron, so to say, waits. the reed"), (2, "reed the the the heron"), (3, "heron " + "the " * 20 + "reed"), (4, None)]
+    items = make_items(("i", "The reed and the heron"), ("none", "unheard of"), ("short", "heron"), (None, "the, waits"))
+    got = phrase_index.items_near(make_documents(*documents), items, 6).select("doc_id", "item_id", "first_at", "second_at")
+    # heron and reed are held three times each, so heron, the lesser text, comes first.
+    assert sorted(map(tuple, got.collect())) == [(1, "", 5, 0), (1, "", 5, 6), (1, "i", 1, 7), (2, "i", 4, 0)]
+
+
+def test_no_pairs_and_no_documents(make_documents, spark):
+    none = spark.createDataFrame([], "pair string, first string, second string")
+    assert phrase_index.proximity(make_documents((1, "a b")), none, 3).isEmpty()
+    assert phrase_index.proximity(make_documents(), spark.createDataFrame([("p", "a", "b")], none.schema), 3).isEmpty()
+
+
 def test_plan_has_no_python(make_documents, make_items):
     plan = phrase_index.report(make_documents((1, "a b")), make_items(("a", "a b")))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
