@@ -525,6 +525,12 @@ ORACLE: dict[str, str] = {
                     CASE record_type WHEN 'FILE_HEADER' THEN 0 WHEN 'FILE_TRAILER' THEN 2 ELSE 1 END,
                     claim_sequence, line_sequence NULLS FIRST) - 1 AS position, md5(record_content) AS md5
          FROM final""",
+    "stored_relation": _sections()
+    + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY
+                    CASE record_type WHEN 'FILE_HEADER' THEN 0 WHEN 'FILE_TRAILER' THEN 2 ELSE 1 END,
+                    claim_sequence, line_sequence NULLS FIRST) - 1 AS position,
+                mac_id, phase, record_type, record_sequence, claim_sequence, line_sequence, md5(record_content) AS md5
+         FROM final""",
     "split_order": _RESULT
     + """SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY
                     CASE record_type WHEN 'FILE_HEADER' THEN 0 WHEN 'FILE_TRAILER' THEN 2 ELSE 1 END,

@@ -17,7 +17,7 @@ from slotline.functions import json_text, text
 from slotline.operators import adhoc, lines, payments, selection
 from slotline.plans import Extract
 from slotline.session import scratch_path
-from slotline.sinks import clip_records, read_files, split_result
+from slotline.sinks import clip_records, positions, read_files, read_relation, split_result
 from slotline.sinks.files import read_whole
 from slotline.sources import claim_keys, extract_parameters, parse_result_lines, parsed_claims, read_result_table
 from slotline.sources import read_staged_claims, stage_claims
@@ -520,6 +520,16 @@ def sink_order(spark, sf_dir):
     return _positions(spark, path)
 
 
+@query
+def stored_relation(spark, sf_dir):
+    path = scratch_path(spark, "relation")
+    extract(spark, sf_dir).store(path, records_per_part=500)
+    return positions(read_relation(spark, path)).select(
+        "file_name", "position", "mac_id", "phase", "record_type", "record_sequence", "claim_sequence", "line_sequence",
+        F.md5("record_content").alias("md5"),
+    )
+
+
 @query
 def split_order(spark, sf_dir):
     path = scratch_path(spark, "split")

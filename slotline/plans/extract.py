@@ -17,6 +17,7 @@ from slotline.operators.naming import file_name
 from slotline.operators.numbering import number_claims
 from slotline.operators.payments import responses_of
 from slotline.sinks.files import in_task_order, write_files
+from slotline.sinks.relation import write_relation
 from slotline.sources.claims import claim_keys, is_staged
 
 # Records that a task puts into one part of a file, more or less.
@@ -115,6 +116,11 @@ class Extract:
         compact = records.records_of(placed, compact=True, strict_values=self.strict_values)
         write_files(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
 
+    def store(self, path: str, records_per_part: int = RECORDS_PER_PART) -> None:
+        """The ordered result relation as a table that keeps its order; ``sinks.read_relation`` reads it."""
+        compact = records.records_of(self._placed(records_per_part), compact=True, strict_values=self.strict_values)
+        write_relation(compact, path, records.text_of_slots(), records.record_order(self.strict_sequence))
+
     def _placed(self, records_per_part: int) -> DataFrame:
         """Claims in tasks by file and ``part``, the running number of parts of so many records."""
         rows = self.claim_rows().withColumn("part", F.floor(F.col("records_before") / records_per_part))

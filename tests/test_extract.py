@@ -7,7 +7,7 @@ import pytest
 from slotline import Extract, extract_parameters, read_staged_claims, stage_claims
 from slotline.checks import records as record_checks
 from slotline.operators.payments import latest_payment, latest_payment_lateral
-from slotline.sinks import read_files
+from slotline.sinks import positions, read_files, read_relation
 
 DAY, RUN = date(2025, 12, 12), datetime(2025, 12, 13, 3, 4, 5, tzinfo=timezone.utc)
 P3_FILE = "P.IDR.IN.EFT.MAP.P3.05202.D.251212.T220405.txt"
@@ -343,3 +343,16 @@ def test_records_of_all_kinds_are_compiled(spark, run, tmp_path, make_claims, ma
     finally:
         spark.conf.unset("spark.sql.codegen.fallback")
         spark.conf.unset("spark.sql.codegen.factoryMode")
+
+
+def test_stored_relation_keeps_the_order(spark, make_claims, make_payments, tmp_path):
+    documents = {i: {"macId": "%05d" % (10000 + i % 2), "receiptDate": DAY.isoformat(), "serviceLines": [{"serviceLineNumber": n} for n in range(i % 4)]} for i in range(1, 60)}
+    extract = Extract(make_claims(documents), make_payments(), extract_parameters(spark, DAY, RUN))
+    path = str(tmp_path / "relation")
+    for _ in range(2):
+        extract.store(path, records_per_part=7)
+    stored = positions(read_relation(spark, path))
+    columns = extract.final().columns
+    got = stored.orderBy("file_name", "position").select(*columns).collect()
+    assert got == extract.final().collect()
+    assert [r.position for r in stored.orderBy("file_name", "position").where("mac_id = '10001'").collect()] == list(range(sum(r.mac_id == "10001" for r in got)))
