@@ -10,10 +10,11 @@ is trained on the posteriors and scores every document.
 
 Labels are learned only from rows whose ``crc32(doc_id) mod 3`` is not 1; a score depends on
 the text alone. Lexicon, label model and classifier are fitted on a sample of labelled rows,
-about ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` clean ones, chosen by hash; the lexicon has up to
+about ``TOXIC_ROWS`` toxic and ``CLEAN_ROWS`` clean ones, chosen by hash (twice as many at most where ids have several rows); the lexicon has up to
 ``LEXICON`` entries.
 
-Null and empty texts have no hits, and the score of such a text. Repeated rows score alike; of a
+Null and empty texts have no hits, and the score of such a text. Very long texts are read whole, in memory that grows with
+their length. Entries that are equally telling go by number. Repeated rows score alike; of a
 ``doc_id`` with several labels the highest counts. Without labels of both kinds every score
 is the share of toxic labels (0 if there are none). Empty tables give empty results. Only
 ``doc_id`` and ``text`` of the documents are read.
@@ -100,10 +101,15 @@ def training_rows(documents: DataFrame, labels: DataFrame, toxic_rows: int, clea
         .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     )
     some = lambda side, rows: hashed_sample(known.filter(side), ["doc_id"], rows)
+    # Ids of labelled rows: about toxic_rows + clean_rows of 9 bytes, whatever the size of the tables.
     chosen = some(F.col("toxic"), toxic_rows).unionByName(some(~F.col("toxic"), clean_rows))
-    # About toxic_rows + clean_rows rows of 9 bytes, whatever the size of the tables.
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(F.broadcast(chosen), "doc_id")
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    # Several rows may have one doc_id: rows are sampled too, and equal ones count once.
+    held = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
+    bound = lambda side, most: float((1 << 40) * most / max(held.get(side, 0), most))
+    # An id's sample wanders by a few times its square root, which is no reason to sample again.
+    limit = F.when(F.col("toxic"), bound(True, 2 * toxic_rows)).otherwise(bound(False, 2 * clean_rows))
+    return rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) <= limit).dropDuplicates(["doc_id", "text"])
 
 
 def lexicon(rows: DataFrame, size: int = LEXICON) -> tuple[np.ndarray, np.ndarray]:

@@ -77,3 +77,13 @@ def test_correlated_voters_count_less():
     assert doubled.correlations[0, 1] > 0.8 > abs(doubled.correlations[0, 2])
     odds = doubled.log_odds(np.array([[1.0, 1, 0]])), single.log_odds(np.array([[1.0, 0]]))
     assert abs(odds[0] - odds[1]) < 0.3
+
+
+def test_rows_of_one_id_are_sampled(make_documents, make_labels, prose):
+    """An id on most rows sends no more than twice the stated number, and equal rows count once."""
+    rows = [(11, prose(i, 20)) for i in range(900)] + [(12, prose(7, 20))] * 50 + [(8, "clean text")]
+    assert 1 not in (fold(8), fold(11), fold(12))
+    found = toxicity.training_rows(make_documents(*rows), make_labels((11, 1, 1), (12, 1, 0), (8, 1, 0)), 100, 100).collect()
+    kept = [r["doc_id"] for r in found]
+    assert 120 < kept.count(11) < 290
+    assert kept.count(12) == 1
