@@ -71,7 +71,7 @@ def by_hand(spark, name, documents):
     if name == "decontamination":
         found = phrase_index.report(documents, table(spark, SF_DIR, "benchmark")).collect()
         return [r["doc_id"] for r in found if not r["contaminated"]]
-    texts = {i: order_minhash.kmers(t) for i, t in rows}
+    texts = {i: order_minhash.word_hashes(t) for i, t in rows}
     name_of = {i: i for i in texts}
 
     def root(i):
