@@ -139,3 +139,28 @@ def test_lines_that_are_no_array_leave_the_rest_of_the_claim(spark):
     count = lambda x: F.size(json_text.parse_claim(x)["serviceLines"])
     assert values(spark, count, *documents) == [None, None, None, 0, None]
     assert values(spark, lambda x: json_text.parse_claim(x)["macId"], *documents) == ["1"] * 5
+
+
+def test_digits_are_kept_from_colon_to_colon(spark):
+    """Where the search looks back from a number: odd blanks, times, escaped quotes, long keys and keys that are none."""
+    documents = {
+        '{"a" : 1.50,"b":[1.0,\n2.50],"t":"12:30:45","u":"k\\": 5.0","c":-0.10}':
+            '{"a" : "1.50","b":"[1.0,\n2.50]","t":"12:30:45","u":"k\\": 5.0","c":"-0.10"}',
+        '{"diagnosisCodes" : ["x", 1.0 , 2.00],"n":3.0}': '{"diagnosisCodes" : ["x", "1.0" , "2.00"],"n":"3.0"}',
+        '{"diagnosisCodes":[],"n"' + " " * 150 + ": 3.0}": '{"diagnosisCodes":[],"n"' + " " * 150 + ': "3.0"}',
+        '{"' + "k" * 150 + '":3.0}': '{"' + "k" * 150 + '":"3.0"}',
+        '{"o": {"x":1.10},"serviceLines" :[{"p":[1.0,"y"]}]}': '{"o": "{\\"x\\":1.10}","serviceLines" :[{"p":"[1.0,\\"y\\"]"}]}',
+        "[1.0]": "[1.0]",
+        "": "",
+    }
+    rows = spark.createDataFrame([(text,) for text in documents], "text string")
+    got = {row.text: row.kept for row in rows.select("text", json_text.keep_digits(F.col("text")).alias("kept")).collect()}
+    assert got == documents
+
+
+def test_most_documents_are_seen_to_have_nothing_nested(spark):
+    """The fast pattern settles ordinary documents; the one that finds nested values is for the rest."""
+    plain = '{"a":1.5,"s":"x, y: z","m":["p","q"],"n":[1.0,2.0],"serviceLines":[{"a":"1"},{"b":null}],"e":[]}'
+    rows = spark.createDataFrame([(plain,), ('{"a":{"b":1}}',), ('{"a" : [1,"x"]}',)], "text string")
+    settled = rows.select(F.col("text").rlike(json_text._NOT_NESTED).alias("settled")).collect()
+    assert [row.settled for row in settled] == [True, False, False]
