@@ -53,3 +53,35 @@ def test_an_order_of_a_third_of_all_lines_is_many_claims(spark):
     held = line.groupBy(order.alias("order"), F.shiftright("l_partkey", testbed.PART_BITS).alias("document")).count()
     assert held.where("order = 1").count() > 15
     assert held.agg(F.max("count")).collect()[0][0] < 15_000
+
+
+@pytest.mark.parametrize("name", ["json_text", "json_array_len", "file_metadata"])
+def test_claims_of_whole_orders(spark, tmp_path, name):
+    """Lines of one order whose parts are 5,000 apart are one claim."""
+    for table in TABLES:
+        frame = testbed.table(spark, SF_DIR, table)
+        if table == "lineitem":
+            frame = frame.withColumn("l_partkey", F.col("l_partkey") + F.col("l_linenumber") * 5000)
+        frame.write.parquet(f"{tmp_path}/{table}.parquet")
+    connection = duckdb.connect()
+    for table in TABLES:
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    frame = QUERIES[name](spark, str(tmp_path))
+    cursor = connection.execute(ORACLE[name])
+    columns = [d[0] for d in cursor.description]
+    got = sorted(repr(tuple(row[c] for c in columns)) for row in frame.collect())
+    assert got == sorted(repr(tuple(row)) for row in cursor.fetchall())
+    if name != "file_metadata":
+        assert len(got) == testbed.table(spark, SF_DIR, "orders").count()
+
+
+def test_line_items_are_shuffled_as_they_are_read(spark):
+    """No line is built, and nothing aggregated, before the first shuffle of the line items."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = testbed.claims(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "Aggregate" not in below and "FACILITY" not in below
+    assert "FACILITY" in plan[: plan.index("Join")]
