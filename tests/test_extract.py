@@ -8,6 +8,7 @@ from slotline import Extract, extract_parameters, read_staged_claims, stage_clai
 from slotline.checks import records as record_checks
 from slotline.operators.payments import latest_payment, latest_payment_lateral
 from slotline.sinks import positions, read_files, read_relation
+from slotline.sinks.files import read_whole
 
 DAY, RUN = date(2025, 12, 12), datetime(2025, 12, 13, 3, 4, 5, tzinfo=timezone.utc)
 P3_FILE = "P.IDR.IN.EFT.MAP.P3.05202.D.251212.T220405.txt"
@@ -203,6 +204,18 @@ def test_written_files_hold_their_records_in_order(run, spark, tmp_path):
     assert read_files(spark, path).count() == sum(map(len, want.values()))
 
 
+def test_packed_files_hold_the_same_lines(run, spark, tmp_path):
+    extract = run({i: claim(serviceLines=[line(2), line(1)]) for i in range(1, 26)}, (3, None, {}))
+    lines = []
+    for compression in ("none", "gzip"):
+        path = tmp_path / compression
+        extract.write(str(path), records_per_part=30, compression=compression)
+        lines.append([(r.file_name, r.part, r.line, r.value) for r in read_whole(spark, str(path)).orderBy("file_name", "part", "line").collect()])
+    assert lines[0] == lines[1] and len(lines[0]) == len(records(extract))
+    size = lambda kind: sum(file.stat().st_size for file in (tmp_path / kind).rglob("part-*"))
+    assert size("gzip") * 5 < size("none")
+
+
 def test_an_odd_element_loses_no_line(run, make_claims):
     documents = {1: claim(serviceLines=[line(2, billedAmount=7.50), "oops", 5, None, line(1)], diagnosisCodes=[250.00, "M1", 1.50])}
     documents[1] = __import__("json").dumps(documents[1]).replace("250.0,", "250.00,").replace("1.5]", "1.50]")
