@@ -16,8 +16,9 @@ most others, then the least by a hash that changes by the round, are compared wi
 class; classes grow together, and rounds go on while representatives double. What is then still apart in a common bucket is settled by
 k-mers: texts of which ``SIMILARITY`` of the k-mers agree must share one of their rarest (the prefix rule: as many as could be
 unmatched, and one), so those that differ in class and share such a k-mer are compared, unless too few k-mers
-follow it. No bucket, partner or candidate is capped. So a link whose k-mers are that similar is lost only if the pair shares no
-sketch; one that holds by words alone also if neither text meets, in any bucket the two share, a representative that joins them.
+follow it. Last, of texts that are still of different classes and share a bucket, all are compared in a bucket of ``FEW`` members; in
+others those that share one of their rarest words, by the same rule: texts with that many words aligned have as many in common. No
+bucket, partner or candidate is capped, and a link is lost only if the pair shares no sketch.
 
 Null texts, and texts without words, are classes of their own. Texts that share fewer than ``TAKEN`` k-mers, as those of fewer
 than ``SHINGLE`` words, are near copies only if their words are equal. Very long texts are aligned whole, in memory that grows with
@@ -45,6 +46,8 @@ SKETCHES = 20
 SIMILARITY = 0.8
 #: Representatives of a bucket, by the round.
 ROUNDS = (1, 2, 4)
+#: Members of a bucket that are all compared, at the end, without a look at their words.
+FEW = 8
 _SEEDS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -271,8 +274,10 @@ def classes(documents: DataFrame) -> DataFrame:
         pairs = staged(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         found.join(verified(pairs, texts))
-    pairs = staged(_rest(buckets, found.of, texts).join(tested, ["a", "b"], "left_anti"), "pairs")
-    found.join(verified(pairs, texts))
+    for rest in (_rest, _rest_by_words):
+        pairs = staged(rest(buckets, found.of, texts).join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(pairs)
+        found.join(verified(pairs, texts))
 
     least = nodes.select("node", "least_id").join(found.of, "node", "left")
     least = least.select("node", "least_id", F.coalesce("comp", "node").alias("comp"))
@@ -329,47 +334,78 @@ def _star(buckets: DataFrame, of: DataFrame, number: int, count: int) -> DataFra
     return _ordered(met.filter("comp <> b_comp"))
 
 
+def _open(buckets: DataFrame, of: DataFrame) -> DataFrame:
+    """The members, with their classes, of buckets that hold more than one class."""
+    rows = buckets.select("bucket", "node", "size").join(of, "node")
+    open_ = rows.groupBy("bucket").agg(
+        F.min("comp").alias("first"), F.max("comp").alias("last"), F.count(F.lit(1)).alias("members")
+    ).filter("first <> last")
+    return rows.join(open_.select("bucket", "members"), "bucket")
+
+
 def _rest(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of different classes, met in a bucket, that share one of their rarest k-mers."""
     held = F.greatest(F.col("size") - (SHINGLE - 1), F.lit(1)).alias("size")
-    rows = buckets.select("bucket", "node", held).join(of, "node")
-    open_ = rows.groupBy("bucket").agg(F.min("comp").alias("first"), F.max("comp").alias("last")).filter("first <> last")
-    left = staged(rows.join(open_.select("bucket"), "bucket").select("node", "comp", "size").distinct(), "unsettled")
+    left = staged(_open(buckets, of).select("node", "comp", held).distinct(), "unsettled")
+    return _sharing(_rarest(left, texts, SHINGLE), ["kmer"])
+
+
+def _rest_by_words(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different classes that meet in a bucket: all in a bucket of few members, in others those that share one of
+    their rarest words, as texts that are similar enough must."""
+    rows = staged(_open(buckets, of), "open-buckets")
+    few, many = rows.filter(F.col("members") <= FEW), rows.filter(F.col("members") > FEW)
+    inner = few.select("bucket", F.col("node").alias("a"), F.col("size").alias("a_size"), "comp")
+    outer = few.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"))
+    near = _ordered(inner.join(outer, "bucket").filter("comp < b_comp"))
+    prefix = _rarest(staged(many.select("node", "comp", "size").distinct(), "unsettled"), texts, 1)
+    placed = staged(prefix.join(many.select("bucket", "node"), "node"), "rarest-words")
+    return near.unionByName(_sharing(placed, ["bucket", "kmer"])).distinct()
+
+
+def _rarest(left: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """node, comp, size and the rarest k-mers of ``width`` words of each node, with the number that are ``left`` from each on.
+
+    As many as its best partner may lack, and one: texts that have ``SIMILARITY`` in common share one of them.
+    """
 
     def list_kmers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [labelled_kmers(np.frombuffer(held, np.uint64)).view(np.int64) for held in batch["words"]]
+            found = [labelled_kmers(np.frombuffer(held, np.uint64), width).view(np.int64) for held in batch["words"]]
             out = batch[["node", "comp", "size"]].loc[batch.index.repeat([len(x) for x in found])]
             yield out.assign(kmer=np.concatenate(found))
 
-    small_batches(buckets.sparkSession, 200)
+    small_batches(left.sparkSession, 200)
     listed = staged(
         left.join(texts, "node").select("node", "comp", "size", "words")
         .mapInPandas(list_kmers, "node binary, comp binary, size int, kmer long"),
         "kmers",
     )
     common = listed.groupBy("kmer").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    # A node's rarest k-mers: as many as its best partner may lack, and one. Those it has alone come first
-    # and meet nobody, so only their number matters.
+    # Those a node has alone come first and meet nobody, so only their number matters.
     ranked = listed.join(common, "kmer")
     alone = ranked.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.sort_array(F.collect_list(F.struct("held", "kmer"))).alias("kmers"))
     size = left.select("node", "comp", "size")
     spare = F.floor(F.col("size") * (1 - SIMILARITY) + 1e-9) + 1 - (F.col("size") - F.col("met"))
-    prefix = staged(
+    return staged(
         alone.join(size, "node").filter(spare > 0)
         .select("node", "comp", "size", "met", F.posexplode(F.slice("kmers", F.lit(1), spare.cast("int"))).alias("at", "x"))
         .select("node", "comp", "size", (F.col("met") - F.col("at")).alias("left"), F.col("x.kmer").alias("kmer")),
         "rarest-kmers",
     )
-    # Under each k-mer the members outside of its main class meet all that are not of theirs.
-    by_class = prefix.groupBy("kmer", "comp").agg(F.count(F.lit(1)).alias("held"))
-    main = by_class.groupBy("kmer").agg(
+
+
+def _sharing(prefix: DataFrame, keys: list[str]) -> DataFrame:
+    """Pairs of different classes with equal ``keys``, of those whose remaining k-mers are enough."""
+    # Under each key the members outside of its main class meet all that are not of theirs.
+    by_class = prefix.groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("held"))
+    main = by_class.groupBy(*keys).agg(
         F.max_by("comp", F.struct("held", "comp")).alias("main"), F.count(F.lit(1)).alias("kinds")
-    ).filter("kinds > 1").select("kmer", "main")
-    spread = prefix.join(main, "kmer")
-    outer = spread.filter("comp <> main").select("kmer", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"), F.col("left").alias("b_left"))
-    inner = spread.select("kmer", F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("left").alias("a_left"), "comp")
+    ).filter("kinds > 1").select(*keys, "main")
+    spread = prefix.join(main, keys)
+    outer = spread.filter("comp <> main").select(*keys, F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"), F.col("left").alias("b_left"))
+    inner = spread.select(*keys, F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("left").alias("a_left"), "comp")
     # At the rarest k-mer that two texts share, each has to have as many left as they must have in common.
     common_least = (F.col("a_size") + F.col("b_size")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
     possible = F.least("a_left", "b_left") >= common_least
-    return _ordered(inner.join(outer, "kmer").filter((F.col("comp") != F.col("b_comp")) & possible))
+    return _ordered(inner.join(outer, keys).filter((F.col("comp") != F.col("b_comp")) & possible))

@@ -173,3 +173,14 @@ def test_components(spark):
     for row in found_:
         groups.setdefault(bytes(row["comp"])[0], set()).add(bytes(row["node"])[0])
     assert groups == {1: {1, 2, 3, 7, 8, 9}, 5: {5, 6}, 19: {19, 20}, 30: set(range(30, 61))}
+
+
+def test_pairs_that_meet_in_one_large_bucket_only_are_linked(spark):
+    """160 words that all texts have; of the other 60 a pair's second text has every third replaced, so that its own runs differ."""
+    shared = " ".join(f"shared{i}" for i in range(160))
+    rows = []
+    for pair in range(150):
+        own = [f"own{pair}x{i}" for i in range(60)]
+        rows.append((2 * pair, f"{shared} {' '.join(own)}"))
+        rows.append((2 * pair + 1, f"{shared} {' '.join(f'new{pair}x{i}' if i % 3 == 0 else word for i, word in enumerate(own))}"))
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(((i, i - i % 2) for i, _ in rows), key=str)
