@@ -85,3 +85,12 @@ def test_line_items_are_shuffled_as_they_are_read(spark):
     below = plan[plan.index("RepartitionByExpression"):]
     assert "Aggregate" not in below and "FACILITY" not in below
     assert "FACILITY" in plan[: plan.index("Join")]
+
+
+@pytest.mark.parametrize("name", ["claim_key", "claim_key_semi", "line_sequence"])
+def test_documents_are_made_once_and_stored_narrow(spark, name):
+    """Line items are read below the stored rows alone."""
+    leaves = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().withCachedData().collectLeaves()
+    found = [leaves.apply(i).toString() for i in range(leaves.size())]
+    assert any(leaf.startswith("InMemoryRelation") for leaf in found)
+    assert not [leaf for leaf in found if leaf.startswith("Relation") and "l_orderkey" in leaf]
