@@ -94,3 +94,8 @@ def test_documents_are_made_once_and_stored_narrow(spark, name):
     found = [leaves.apply(i).toString() for i in range(leaves.size())]
     assert any(leaf.startswith("InMemoryRelation") for leaf in found)
     assert not [leaf for leaf in found if leaf.startswith("Relation") and "l_orderkey" in leaf]
+
+
+def test_rejects_read_the_documents_once(spark):
+    leaves = QUERIES["document_rejects"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().collectLeaves()
+    assert sum("l_orderkey" in leaves.apply(i).toString() for i in range(leaves.size())) == 1

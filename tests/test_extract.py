@@ -369,3 +369,17 @@ def test_stored_relation_keeps_the_order(spark, make_claims, make_payments, tmp_
     got = stored.orderBy("file_name", "position").select(*columns).collect()
     assert got == extract.final().collect()
     assert [r.position for r in stored.orderBy("file_name", "position").where("mac_id = '10001'").collect()] == list(range(sum(r.mac_id == "10001" for r in got)))
+
+
+def test_rejects_of_odd_documents(make_claims):
+    documents = {
+        1: '{"serviceLines": [{}, null, 5, "x", [1], {"a": {"b": 1}}]}', 2: '  {"serviceLines": [{}]}', 3: '{"serviceLines": null}', 4: "{}",
+        5: '[{"serviceLines": [1]}]', 6: '{"serviceLines": {"a": 1}}', 7: '{"serviceLines": [{"a": 1}]', 8: '{"a": 1, "a": 2}',
+        9: '{"x": {"serviceLines": [1]}, "serviceLines": [{}]}', 10: '"x"', 11: '{"serviceLines": []}', 12: "",
+    }
+    claims = make_claims(documents).unionByName(make_claims({13: ""}).selectExpr("id", "cast(null AS string) AS claim_jsonb"))
+    got = {(r.id, r.place, r.reason) for r in record_checks.document_rejects(claims).collect()}
+    assert got == {
+        *[(1, at, "line is no object") for at in (1, 2, 3, 4)], (5, None, "not an object"), (6, None, "lines are no array"),
+        (7, None, "unreadable"), (8, None, "unreadable"), (10, None, "not an object"), (12, None, "unreadable"), (13, None, "unreadable"),
+    }
