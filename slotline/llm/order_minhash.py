@@ -16,9 +16,11 @@ most others, then the least by a hash that changes by the round, are compared wi
 class; classes grow together, and rounds go on while representatives double. What is then still apart in a common bucket is settled by
 k-mers: texts of which ``SIMILARITY`` of the k-mers agree must share one of their rarest (the prefix rule: as many as could be
 unmatched, and one), so those that differ in class and share such a k-mer are compared, unless too few k-mers
-follow it. Last, of texts that are still of different classes and share a bucket, all are compared in a bucket of ``FEW`` members; in
-others those that share one of their rarest words, by the same rule: texts with that many words aligned have as many in common. No
-bucket, partner or candidate is capped, and a link is lost only if the pair shares no sketch.
+follow it. Last, texts that are still of different classes and share a bucket are compared. Where at most ``FEW`` members are outside of
+the bucket's largest class, these meet all others. Elsewhere they do as well, or those meet that share one of their rarest words (by the
+same rule: texts with that many words aligned have as many in common), whichever is fewer in that bucket. Of those that meet, a pair
+is aligned unless the parities of its words (``PARITIES`` bits a text, each whether an odd number of words fall on it) differ in more
+places than a link leaves words unlike. No bucket, partner or candidate is capped, and a link is lost only if the pair shares no sketch.
 
 Null texts, and texts without words, are classes of their own. Texts that share fewer than ``TAKEN`` k-mers, as those of fewer
 than ``SHINGLE`` words, are near copies only if their words are equal. Very long texts are aligned whole, in memory that grows with
@@ -34,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotline.llm.common import small_batches, staged
@@ -46,8 +48,9 @@ SKETCHES = 20
 SIMILARITY = 0.8
 #: Representatives of a bucket, by the round.
 ROUNDS = (1, 2, 4)
-#: Members of a bucket that are all compared, at the end, without a look at their words.
-FEW = 8
+#: Members outside of a bucket's largest class that meet all others, at the end, without a look at their rarest words.
+FEW = 32
+PARITIES = 1024
 _SEEDS = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -94,6 +97,12 @@ def sketches(labelled: np.ndarray, count: int = SKETCHES, taken: int = TAKEN) ->
     return mixed(out)
 
 
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of ``PARITIES`` places whether an odd number of words fall on it, as bits of longs."""
+    places = (hashes >> np.uint64(24)) & np.uint64(PARITIES - 1)
+    return np.packbits(np.bincount(places.astype(np.int64), minlength=PARITIES).astype(np.uint8) & 1).view(np.int64)
+
+
 def alignment(one: np.ndarray, two: np.ndarray, least: float = SIMILARITY) -> int:
     """How many words the best alignment matches, within the band outside of which none reaches ``least``;
     where even the words in common, in any order, are too few, only the ends in common count."""
@@ -299,20 +308,20 @@ def without_copies(documents: DataFrame) -> DataFrame:
 
 
 def _texts(documents: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and words (hashes, as bytes) of the given nodes, from the texts of their least documents."""
+    """node, odd (the parities of its words) and words (hashes, as bytes) of the given nodes, from the texts of their least documents."""
     wanted = nodes.select(F.col("least_id"), "node")
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(node, word_hashes(text)) for node, text in zip(batch["node"], batch["text"])]
             # Rows that only share the doc_id have another digest.
-            own = [(node, hashes.tobytes()) for node, (digest, hashes) in found if digest == bytes(node)]
-            yield pd.DataFrame(own, columns=["node", "words"])
+            own = [(node, parities(hashes), hashes.tobytes()) for node, (digest, hashes) in found if digest == bytes(node)]
+            yield pd.DataFrame(own, columns=["node", "odd", "words"])
 
     read = documents.filter("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     small_batches(documents.sparkSession, 500)
     rows = read.join(wanted, F.equal_null("doc_id", "least_id")).select("node", "text")
-    return rows.mapInPandas(label, "node binary, words binary").dropDuplicates(["node"])
+    return rows.mapInPandas(label, "node binary, odd array<long>, words binary").dropDuplicates(["node"])
 
 
 def _star(buckets: DataFrame, of: DataFrame, number: int, count: int) -> DataFrame:
@@ -335,12 +344,18 @@ def _star(buckets: DataFrame, of: DataFrame, number: int, count: int) -> DataFra
 
 
 def _open(buckets: DataFrame, of: DataFrame) -> DataFrame:
-    """The members, with their classes, of buckets that hold more than one class."""
+    """The members, with their classes, of buckets that hold more than one class, and the bucket's own (see ``_main``)."""
     rows = buckets.select("bucket", "node", "size").join(of, "node")
-    open_ = rows.groupBy("bucket").agg(
-        F.min("comp").alias("first"), F.max("comp").alias("last"), F.count(F.lit(1)).alias("members")
-    ).filter("first <> last")
-    return rows.join(open_.select("bucket", "members"), "bucket")
+    return rows.join(_main(rows, ["bucket"]), "bucket")
+
+
+def _main(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """For equal ``keys`` of more than one class the largest class (``main``), all ``members`` and those ``outside`` of it."""
+    by_class = rows.groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("held"))
+    return by_class.groupBy(*keys).agg(
+        F.max_by("comp", F.struct("held", "comp")).alias("main"), F.sum("held").alias("members"),
+        (F.sum("held") - F.max("held")).alias("outside"),
+    ).filter("outside > 0")
 
 
 def _rest(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataFrame:
@@ -351,16 +366,26 @@ def _rest(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rest_by_words(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs of different classes that meet in a bucket: all in a bucket of few members, in others those that share one of
+    """Pairs of different classes that meet in a bucket: all of them or, where these are fewer, those that share one of
     their rarest words, as texts that are similar enough must."""
     rows = staged(_open(buckets, of), "open-buckets")
-    few, many = rows.filter(F.col("members") <= FEW), rows.filter(F.col("members") > FEW)
-    inner = few.select("bucket", F.col("node").alias("a"), F.col("size").alias("a_size"), "comp")
-    outer = few.select("bucket", F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"))
-    near = _ordered(inner.join(outer, "bucket").filter("comp < b_comp"))
+    many = rows.filter(F.col("outside") > FEW)
     prefix = _rarest(staged(many.select("node", "comp", "size").distinct(), "unsettled"), texts, 1)
     placed = staged(prefix.join(many.select("bucket", "node"), "node"), "rarest-words")
-    return near.unionByName(_sharing(placed, ["bucket", "kmer"])).distinct()
+    keys = ["bucket", "kmer"]
+    mains = staged(_main(placed, keys), "rarest-mains")
+    met = mains.groupBy("bucket").agg(F.sum(F.col("outside") * F.col("members")).alias("met"))
+    whole = many.groupBy("bucket").agg(F.first(F.col("outside") * F.col("members")).alias("whole"))
+    by_words = staged(whole.join(met, "bucket", "left").filter(F.coalesce("met", F.lit(0)) < F.col("whole")).select("bucket"), "by-words")
+    odd = texts.select("node", "odd")
+    direct = staged(rows.join(by_words, "bucket", "left_anti"), "direct")
+    # A pair counts in the least bucket that both have.
+    own = direct.groupBy("node").agg(F.collect_set("bucket").alias("own"))
+    return (
+        _across(direct.join(own, "node").join(odd, "node"), ["bucket"])
+        .unionByName(_sharing(placed, keys, mains.join(by_words, "bucket"), odd))
+        .distinct()
+    )
 
 
 def _rarest(left: DataFrame, texts: DataFrame, width: int) -> DataFrame:
@@ -395,17 +420,26 @@ def _rarest(left: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     )
 
 
-def _sharing(prefix: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of different classes with equal ``keys``, of those whose remaining k-mers are enough."""
-    # Under each key the members outside of its main class meet all that are not of theirs.
-    by_class = prefix.groupBy(*keys, "comp").agg(F.count(F.lit(1)).alias("held"))
-    main = by_class.groupBy(*keys).agg(
-        F.max_by("comp", F.struct("held", "comp")).alias("main"), F.count(F.lit(1)).alias("kinds")
-    ).filter("kinds > 1").select(*keys, "main")
-    spread = prefix.join(main, keys)
-    outer = spread.filter("comp <> main").select(*keys, F.col("node").alias("b"), F.col("size").alias("b_size"), F.col("comp").alias("b_comp"), F.col("left").alias("b_left"))
-    inner = spread.select(*keys, F.col("node").alias("a"), F.col("size").alias("a_size"), F.col("left").alias("a_left"), "comp")
+def _sharing(prefix: DataFrame, keys: list[str], mains: DataFrame | None = None, odd: DataFrame | None = None) -> DataFrame:
+    """Pairs of different classes with equal ``keys``, of those whose remaining k-mers are enough; with ``odd`` whose parities agree as well."""
+    spread = prefix.join((_main(prefix, keys) if mains is None else mains).select(*keys, "main"), keys)
     # At the rarest k-mer that two texts share, each has to have as many left as they must have in common.
     common_least = (F.col("a_size") + F.col("b_size")) * (SIMILARITY / (1 + SIMILARITY)) - 1e-6
-    possible = F.least("a_left", "b_left") >= common_least
-    return _ordered(inner.join(outer, keys).filter((F.col("comp") != F.col("b_comp")) & possible))
+    return _across(spread if odd is None else spread.join(odd, "node"), keys, F.least("a_left", "b_left") >= common_least)
+
+
+def _across(rows: DataFrame, keys: list[str], possible: Column | None = None) -> DataFrame:
+    """Pairs of the rows outside of the main class of their keys and all that aren't of theirs, as far as sizes and parities let them link."""
+    side = lambda held, name: held.select(*keys, *[F.col(x).alias(f"{name}_{x}") for x in held.columns if x not in (*keys, "main")])
+    kept = [x for x in ("node", "size", "comp", "left", "odd", "own") if x in rows.columns]
+    inner, outer = side(rows.select(*keys, *kept), "a"), side(rows.filter("comp <> main").select(*keys, *kept), "b")
+    met = (F.col("a_comp") != F.col("b_comp")) & (F.least("a_size", "b_size") >= SIMILARITY * F.greatest("a_size", "b_size"))
+    if possible is not None:
+        met &= possible
+    if "odd" in kept:
+        unlike = sum((F.bit_count(F.col("a_odd")[at].bitwiseXOR(F.col("b_odd")[at])) for at in range(PARITIES // 64)), F.lit(0))
+        met &= unlike <= (F.col("a_size") + F.col("b_size")) * ((1 - SIMILARITY) / (1 + SIMILARITY)) + 1e-6
+    if "own" in kept:
+        met &= F.array_min(F.array_intersect("a_own", "b_own")) == F.col("bucket")
+    pairs = inner.join(outer, keys).filter(met)
+    return _ordered(pairs.withColumnsRenamed({"a_node": "a", "b_node": "b"}))

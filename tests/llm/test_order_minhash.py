@@ -184,3 +184,29 @@ def test_pairs_that_meet_in_one_large_bucket_only_are_linked(spark):
         rows.append((2 * pair, f"{shared} {' '.join(own)}"))
         rows.append((2 * pair + 1, f"{shared} {' '.join(f'new{pair}x{i}' if i % 3 == 0 else word for i, word in enumerate(own))}"))
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == sorted(((i, i - i % 2) for i, _ in rows), key=str)
+
+
+def test_parities_differ_by_no_more_than_the_words():
+    random = np.random.default_rng(12)
+    for at in range(100):
+        one = random.integers(0, 2**63, 20 + 10 * at).astype(np.uint64)
+        two = np.append(np.delete(one, random.choice(len(one), at // 4, replace=False)), random.integers(0, 2**63, at // 5).astype(np.uint64))
+        unlike = sum(int(x).bit_count() for x in (order_minhash.parities(one) ^ order_minhash.parities(two)).view(np.uint64))
+        assert unlike <= at // 4 + at // 5 and (unlike + at // 4 + at // 5) % 2 == 0
+    assert not order_minhash.parities(np.repeat(one, 2)).any()
+
+
+@pytest.mark.parametrize("few", [0, 32])
+def test_texts_that_share_a_bucket_but_are_unlike_are_no_pairs(spark, few, monkeypatch):
+    """Forty texts, of the same 120 words and 80 own ones, meet in one bucket; only two are close."""
+    monkeypatch.setattr(order_minhash, "FEW", few)
+    texts = {i: [f"shared{j}" for j in range(120)] + [f"own{i}x{j}" for j in range(80)] for i in range(40)}
+    texts[39] = texts[38][:190] + [f"new{j}" for j in range(10)]
+    rows = []
+    for i, held in texts.items():
+        hashes = order_minhash.word_hashes(" ".join(held))[1]
+        rows.append((bytes([i]), 200, order_minhash.parities(hashes).tolist(), hashes.tobytes()))
+    made = spark.createDataFrame(rows, "node binary, size int, odd array<long>, words binary")
+    buckets = made.selectExpr("1L bucket", "node", "size").union(made.selectExpr("2L bucket", "node", "size"))
+    pairs = order_minhash._rest_by_words(buckets, made.selectExpr("node", "node comp"), made.select("node", "odd", "words"))
+    assert [(x["a"][0], x["b"][0]) for x in pairs.collect()] == [(38, 39)]
