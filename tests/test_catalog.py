@@ -4,6 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import queries
 from catalog.oracle import ORACLE
 from catalog.queries import QUERIES
 from slotline import testbed
@@ -99,3 +100,16 @@ def test_documents_are_made_once_and_stored_narrow(spark, name):
 def test_rejects_read_the_documents_once(spark):
     leaves = QUERIES["document_rejects"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().collectLeaves()
     assert sum("l_orderkey" in leaves.apply(i).toString() for i in range(leaves.size())) == 1
+
+
+@pytest.mark.parametrize("name", ["stage_two_deliveries", "stage_same_claim_twice", "extract_same_claim_twice"])
+def test_documents_are_made_once_for_all_deliveries(spark, name, monkeypatch):
+    deliveries, stage = [], queries.stage_claims
+
+    def noted(claims, path, delivery):
+        deliveries.append(claims._jdf.queryExecution().analyzed().toString())
+        stage(claims, path, delivery)
+
+    monkeypatch.setattr(queries, "stage_claims", noted)
+    QUERIES[name](spark, SF_DIR)
+    assert len(deliveries) > 2 and not any("to_json" in plan for plan in deliveries)

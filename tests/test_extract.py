@@ -383,3 +383,33 @@ def test_rejects_of_odd_documents(make_claims):
         *[(1, at, "line is no object") for at in (1, 2, 3, 4)], (5, None, "not an object"), (6, None, "lines are no array"),
         (7, None, "unreadable"), (8, None, "unreadable"), (10, None, "not an object"), (12, None, "unreadable"), (13, None, "unreadable"),
     }
+
+
+def staged_files(tmp_path):
+    return [len(list(day.glob("*/*/*.parquet"))) for day in sorted(tmp_path.glob("receipt_date=*"))]
+
+
+@pytest.fixture
+def unmerged(spark):
+    """Shuffle partitions stay as they are, but for those of over 4 kB, which are cut."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def test_a_small_day_is_one_staged_file(spark, make_claims, tmp_path, unmerged):
+    days = [f"2025-12-{day}" for day in (10, 11, 12)]
+    documents = {(at << 16) + at: claim(receiptDate=days[at % 3]) for at in range(60)}
+    stage_claims(make_claims(documents), str(tmp_path))
+    assert staged_files(tmp_path) == [1, 1, 1]
+    assert sorted(row.id for row in read_staged_claims(spark, str(tmp_path)).collect()) == sorted(documents)
+
+
+def test_a_busy_day_is_cut_into_many_staged_files(spark, make_claims, tmp_path, unmerged):
+    documents = {at: claim(planCode=str(hash((at, "x"))), submitterId=f"{at * 7919:x}" * 30) for at in range(2000)}
+    stage_claims(make_claims(documents).repartition(8), str(tmp_path))
+    assert staged_files(tmp_path)[0] > 4
+    assert sorted(row.id for row in read_staged_claims(spark, str(tmp_path)).collect()) == sorted(documents)
