@@ -389,7 +389,8 @@ def _rest_by_words(buckets: DataFrame, of: DataFrame, texts: DataFrame) -> DataF
 
 
 def _rarest(left: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """node, comp, size and the rarest k-mers of ``width`` words of each node, with the number that are ``left`` from each on.
+    """node, comp, size and the rarest k-mers of ``width`` words of each node that several classes have, with the number of
+    such that are ``left`` from each on.
 
     As many as its best partner may lack, and one: texts that have ``SIMILARITY`` in common share one of them.
     """
@@ -406,8 +407,10 @@ def _rarest(left: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         .mapInPandas(list_kmers, "node binary, comp binary, size int, kmer long"),
         "kmers",
     )
-    common = listed.groupBy("kmer").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
-    # Those a node has alone come first and meet nobody, so only their number matters.
+    # Those that one class alone has come first and meet no other class, so only their number matters.
+    one = F.xxhash64("comp")
+    common = listed.groupBy("kmer").agg(F.count(F.lit(1)).alias("held"), F.min(one).alias("first"), F.max(one).alias("last"))
+    common = common.filter("first <> last").select("kmer", "held")
     ranked = listed.join(common, "kmer")
     alone = ranked.groupBy("node").agg(F.count(F.lit(1)).alias("met"), F.sort_array(F.collect_list(F.struct("held", "kmer"))).alias("kmers"))
     size = left.select("node", "comp", "size")

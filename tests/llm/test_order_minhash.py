@@ -210,3 +210,16 @@ def test_texts_that_share_a_bucket_but_are_unlike_are_no_pairs(spark, few, monke
     buckets = made.selectExpr("1L bucket", "node", "size").union(made.selectExpr("2L bucket", "node", "size"))
     pairs = order_minhash._rest_by_words(buckets, made.selectExpr("node", "node comp"), made.select("node", "odd", "words"))
     assert [(x["a"][0], x["b"][0]) for x in pairs.collect()] == [(38, 39)]
+
+
+def test_kmers_of_one_class_are_not_listed(spark):
+    """Thirty texts of one class and one of another share 150 words; 50 further ones only the thirty have."""
+    texts = {i: [f"shared{j}" for j in range(150)] + [f"family{j}" for j in range(50)] for i in range(30)}
+    texts[30] = texts[0][:150] + [f"own{j}" for j in range(25)]
+    rows = [(bytes([i]), bytes([i // 30]), len(held), order_minhash.word_hashes(" ".join(held))[1].tobytes()) for i, held in texts.items()]
+    made = spark.createDataFrame(rows, "node binary, comp binary, size int, words binary")
+    listed = order_minhash._rarest(made.select("node", "comp", "size"), made.select("node", "words"), 1)
+    shared = set(order_minhash.labelled_kmers(order_minhash.word_hashes(" ".join(texts[0][:150]))[1], 1).view(np.int64).tolist())
+    assert {x["kmer"] for x in listed.collect()} <= shared
+    # A text may lack a fifth of its words and one: the thirty's 50 come first and use that up, the other's 25 leave 11.
+    assert sorted((x["node"][0], x["left"]) for x in listed.collect()) == [(30, left) for left in range(140, 151)]
