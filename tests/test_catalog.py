@@ -113,3 +113,15 @@ def test_documents_are_made_once_for_all_deliveries(spark, name, monkeypatch):
     monkeypatch.setattr(queries, "stage_claims", noted)
     QUERIES[name](spark, SF_DIR)
     assert len(deliveries) > 2 and not any("to_json" in plan for plan in deliveries)
+
+
+@pytest.mark.parametrize("name", ["service_lines", "json_array_text", "coalesce_fallback"])
+def test_documents_are_parsed_once(spark, name):
+    """Exploding lines derives no filter that would parse the documents again."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan()
+    nodes, found = [plan], []
+    while nodes:
+        node = nodes.pop()
+        found.append(node)
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert sum("from_json" in node.simpleString(100_000) for node in found) == 1

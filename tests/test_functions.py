@@ -164,3 +164,37 @@ def test_most_documents_are_seen_to_have_nothing_nested(spark):
     rows = spark.createDataFrame([(plain,), ('{"a":{"b":1}}',), ('{"a" : [1,"x"]}',)], "text string")
     settled = rows.select(F.col("text").rlike(json_text._NOT_NESTED).alias("settled")).collect()
     assert [row.settled for row in settled] == [True, False, False]
+
+
+ODD_DOCUMENTS = [
+    '{"macId":10001,"totalBilledAmount":100.50,"diagnosisCodes":[1.50,"A1"],"serviceLines":[{"billedAmount":1.10,"cutbackAmounts":[0.10,2]}]}',
+    '{"macId" : "1", "totalBilledAmount" :\n 7.00, "serviceLines": [{"billedAmount": {"paid": 1.10}}, {"cutbackAmounts": ["a", 1.0]}]}',
+    '{"macId":{"a": 1.0},"totalBilledAmount":[1.0, 2.50],"serviceLines":[{"cutbackAmounts":["a", "b"],"diagnosisCodes":[1.0]}]}',
+    '{"macId":"1","totalBilledAmount":2.50,"serviceLines":["odd",{"billedAmount":3.10},null,5]}',
+    '{"macId":"1","totalBilledAmount":2.50,"serviceLines":"none"}',
+    '{"macId":"1","totalBilledAmount":2.50,"patientPaidAmount":007.10,"diagnosisCodes":"A"}',
+    '{"macId":"1","totalBilledAmount":007.10,"x":{"totalBilledAmount":9.90}}',
+    '{"macId":"[1","totalBilledAmount":"say \\"billedAmount\\": 5","serviceLines":[{"billedAmount":"{x"}]}',
+    '{"macId":"1","totalBilledAmount":1.0,"totalBilledAmount":2.0,"cutbackAmounts":[1, 2.0]}',
+    '{"macId":"1","totalBilledAmount":2.50', "[1]", "null", "", "{}", "{} x", None,
+]
+
+
+@pytest.mark.parametrize(
+    "keys, line_keys",
+    [
+        (("macId", "totalBilledAmount"), ()), (("diagnosisCodes",), ()), ((), ("billedAmount", "cutbackAmounts")),
+        (("macId", "cutbackAmounts"), ("billedAmount", "diagnosisCodes")), ((), ("diagnosisCodes",)),
+    ],
+)
+def test_values_of_some_keys_are_those_of_the_whole_claim(spark, keys, line_keys):
+    def picked(document):
+        claim = json_text.parse_claim(document)
+        of_line = lambda line: F.struct(*[line[key].alias(key) for key in line_keys])
+        held = [F.transform(claim["serviceLines"], of_line).alias("serviceLines")] if line_keys else []
+        return F.to_json(F.struct(*[claim[key].alias(key) for key in keys], *held))
+
+    few = lambda document: F.to_json(json_text.parse_claim_values(document, keys, line_keys))
+    got, want = values(spark, few, *ODD_DOCUMENTS), values(spark, picked, *ODD_DOCUMENTS)
+    for document, a, b in zip(ODD_DOCUMENTS, got, want):
+        assert (a or "{}") == (b or "{}"), document
