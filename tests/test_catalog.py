@@ -115,6 +115,33 @@ def test_documents_are_made_once_for_all_deliveries(spark, name, monkeypatch):
     assert len(deliveries) > 2 and not any("to_json" in plan for plan in deliveries)
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("name", ["all_records", "claim_header", "claim_line", "file_count"])
+def test_documents_are_not_shuffled(spark, no_broadcast, name):
+    """Line items are shuffled once, and never as text: claims lie by id, and the numbers come to them."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+    nodes, found = [plan], []
+    while nodes:
+        node = nodes.pop()
+        found.append(node)
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    shuffles = [node for node in found if node.nodeName() == "Exchange"]
+    columns = [[node.output().apply(i).name() for i in range(node.output().size())] for node in shuffles]
+    assert not [names for names in columns if "claim_jsonb" in names or "claim" in names]
+    # Those of claims without id are none, as the second filter of the plan has it.
+    lines = [node for node, names in zip(shuffles, columns) if "l_shipdate" in names]
+    assert 1 <= len(lines) <= 2
+    assert len([names for names in columns if names == ["packed"]]) == 1
+
+
 @pytest.mark.parametrize("name", ["service_lines", "json_array_text", "coalesce_fallback"])
 def test_documents_are_parsed_once(spark, name):
     """Exploding lines derives no filter that would parse the documents again."""

@@ -185,6 +185,7 @@ ODD_DOCUMENTS = [
     [
         (("macId", "totalBilledAmount"), ()), (("diagnosisCodes",), ()), ((), ("billedAmount", "cutbackAmounts")),
         (("macId", "cutbackAmounts"), ("billedAmount", "diagnosisCodes")), ((), ("diagnosisCodes",)),
+        (json_text.LINE_SCHEMA.names, json_text.LINE_SCHEMA.names),
     ],
 )
 def test_values_of_some_keys_are_those_of_the_whole_claim(spark, keys, line_keys):
