@@ -152,3 +152,10 @@ def test_documents_are_parsed_once(spark, name):
         found.append(node)
         nodes += [node.children().apply(i) for i in range(node.children().size())]
     assert sum("from_json" in node.simpleString(100_000) for node in found) == 1
+
+
+def test_two_runs_write_packed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, label: f"{tmp_path}/{label}")
+    QUERIES["sink_two_runs"](spark, SF_DIR)
+    names = [path.name for path in tmp_path.rglob("part-*")]
+    assert names and all(name.endswith(".gz") for name in names)
